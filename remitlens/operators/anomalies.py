@@ -156,7 +156,8 @@ def isolation_forest_score(df: DataFrame, forest: DataFrame, cols: Sequence[str]
 
 def flag_contamination(scored: DataFrame, contamination: float = C.CONTAMINATION) -> DataFrame:
     """Flag scores above the (1 - contamination) quantile; the reported score is the excess."""
-    cut = exact_quantiles(scored, ["raw_score"], [1.0 - contamination], names=["q"]).first()["q"]
+    row = exact_quantiles(scored, ["raw_score"], [1.0 - contamination], names=["q"]).first()
+    cut = row["q"] if row else 0.0
     excess = F.col("raw_score") - F.lit(cut)
     return scored.withColumn("anomaly_flag", excess > 0).withColumn("anomaly_score", S.round_even(excess, 6)).drop("raw_score")
 

@@ -15,35 +15,46 @@ from remitlens.operators.tables import one_to_rows
 F1_GUARD = 1e-9
 
 
-def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Precision, recall and F1 at every distinct score used as a threshold.
+def pr_curve(scored: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall and F1 at every distinct score used as a threshold, per group.
 
     Equal scores collapse to counts first; running totals over the descending scores come from
-    range-partitioned prefix sums, so the curve never passes through one task.
+    range-partitioned prefix sums, so the curve never passes through one task. Groups (say, model
+    and fold) share one pass: each group's totals are the running totals minus its start.
     """
-    counts = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
+    groups = list(group_cols)
+    counts = scored.where(F.col(score).isNotNull()).groupBy(*groups, F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    cum = running_sums(counts, [F.col("threshold").desc()], {"tp": "pos", "fp": "neg"})
-    positives = cum.agg(F.sum("pos").alias("p")).scalar()
+    order = [*[F.col(g).asc() for g in groups], F.col("threshold").desc()]
+    cum = running_sums(counts, order, {"tp": "pos", "fp": "neg"})
+    if groups:
+        base = cum.groupBy(*groups).agg(
+            F.min(F.col("tp") - F.col("pos")).alias("_tp0"), F.min(F.col("fp") - F.col("neg")).alias("_fp0"),
+            F.sum("pos").alias("_p"),
+        )
+        cum = cum.join(base, groups).withColumn("tp", F.col("tp") - F.col("_tp0")).withColumn("fp", F.col("fp") - F.col("_fp0"))
+        positives = F.col("_p")
+    else:
+        positives = cum.agg(F.sum("pos").alias("p")).scalar()
     precision = F.col("tp").cast("double") / (F.col("tp") + F.col("fp"))
     recall = F.coalesce(F.try_divide(F.col("tp").cast("double"), positives), F.lit(0.0))
-    return cum.withColumn("precision", precision).withColumn("recall", recall).withColumn(
+    return cum.drop("_tp0", "_fp0").withColumn("precision", precision).withColumn("recall", recall).withColumn(
         "f1", 2.0 * (F.col("precision") * F.col("recall")) / (F.col("precision") + F.col("recall") + F1_GUARD)
-    )
+    ).drop("_p")
 
 
-def average_precision(curve: DataFrame) -> DataFrame:
+def average_precision(curve: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Step-wise: sum of recall increments x precision (no interpolation)."""
     weighted = F.sum(F.col("pos") * F.col("precision"))
-    return curve.agg(F.coalesce(F.try_divide(weighted, F.sum("pos")), F.lit(0.0)).alias("average_precision"))
+    return curve.groupBy(*group_cols).agg(F.coalesce(F.try_divide(weighted, F.sum("pos")), F.lit(0.0)).alias("average_precision"))
 
 
-def roc_auc(curve: DataFrame) -> DataFrame:
+def roc_auc(curve: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Rank-sum form with half credit for ties; NULL when one class is absent."""
     p, n = F.sum("pos").cast("double"), F.sum("neg").cast("double")
     beaten = F.sum(F.col("fp").cast("double") * F.col("pos") - F.col("neg") * F.col("pos") * 0.5)
-    return curve.agg((1.0 - F.try_divide(beaten, p * n)).alias("roc_auc"))
+    return curve.groupBy(*group_cols).agg((1.0 - F.try_divide(beaten, p * n)).alias("roc_auc"))
 
 
 def _at(label: str, score: str, threshold: float) -> tuple[Column, Column]:
@@ -149,22 +160,25 @@ def class_weights(df: DataFrame, label: str = C.TARGET) -> DataFrame:
     )
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+def regression_metrics(df: DataFrame, actual: str, predicted: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """MAE, RMSE, R2, median error and their shares of the mean actual, rounded for reports."""
+    groups = list(group_cols)
     shaped = df.select(
-        F.col(actual).cast("double").alias("y"), F.col(predicted).cast("double").alias("p")
+        *groups, F.col(actual).cast("double").alias("y"), F.col(predicted).cast("double").alias("p")
     ).withColumn("ae", F.abs(F.col("y") - F.col("p")))
-    one = shaped.agg(
+    one = shaped.groupBy(*groups).agg(
         F.avg("ae").alias("mae"), F.avg(F.col("ae") * F.col("ae")).alias("mse"), F.var_pop("y").alias("var"),
         F.avg("y").alias("mean"),
     )
-    medians = exact_quantiles(shaped, ["ae", "y"], [0.5], names=["q"]).agg(
+    medians = exact_quantiles(shaped, ["ae", "y"], [0.5], groups, ["q"]).groupBy(*groups).agg(
         F.max(F.when(F.col("column") == "ae", F.col("q"))).alias("med_ae"),
         F.max(F.when(F.col("column") == "y", F.col("q"))).alias("med_y"),
     )
-    both = one.withColumn("k", F.lit(1)).join(medians.withColumn("k", F.lit(1)), "k")  # one row each
+    # one row per group on each side
+    both = one.withColumn("_k", F.lit(1)).join(medians.withColumn("_k", F.lit(1)), [*groups, "_k"])
     rmse = F.sqrt("mse")
     return both.select(
+        *groups,
         S.round_even("mae", 4).alias("MAE"),
         S.round_even(rmse, 4).alias("RMSE"),
         S.round_even(1.0 - F.try_divide(F.col("mse"), F.col("var")), 4).alias("R2"),

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from remitlens import constants as C
 from remitlens.functions import scalars as S
 from remitlens.operators import (
-    anomalies, cleaning, eda, encoding, evaluation, features, ordering, outliers, pricing, profiling,
-    queue, reports, splits, tables, target, variance,
+    anomalies, claims_api, cleaning, eda, encoding, evaluation, features, models, ordering, outliers,
+    pricing, profiling, queue, regression, reports, splits, tables, target, variance,
 )
 from remitlens.plans.stages import Stages, open_stages
 
@@ -608,27 +608,21 @@ def class_weights(st: Stages) -> DataFrame:
     return rounded(evaluation.class_weights(st.modeling))
 
 
-def regression_rows(df: DataFrame) -> DataFrame:
-    """Present, finite, non-negative target and benchmark."""
-    y, p = S.finite(C.REGRESSION_TARGET), S.finite(C.REGRESSION_FORMULA)
-    return df.where((y >= 0) & (p >= 0))
-
-
 @query
 def formula_baseline(st: Stages) -> DataFrame:
-    _, test = splits.split(regression_rows(st.modeling), 0.2)
+    _, test = splits.split(regression.regression_rows(st.modeling), 0.2)
     return evaluation.regression_metrics(test, C.REGRESSION_TARGET, C.REGRESSION_FORMULA)
 
 
 @query
 def target_encoding(st: Stages) -> DataFrame:
-    train, _ = splits.split(regression_rows(st.modeling), 0.2)
+    train, _ = splits.split(regression.regression_rows(st.modeling), 0.2)
     return rounded(encoding.fit_target_encoding(train, CODE, C.REGRESSION_TARGET))
 
 
 @query
 def target_encoded_rows(st: Stages) -> DataFrame:
-    train, test = splits.split(regression_rows(st.modeling), 0.2)
+    train, test = splits.split(regression.regression_rows(st.modeling), 0.2)
     mean = train.agg(F.avg(C.REGRESSION_TARGET).alias("m")).first()["m"]
     table = encoding.fit_target_encoding(train, TYPE, C.REGRESSION_TARGET)
     return rounded(encoding.apply_encoding(test, table, TYPE, mean).select(*KEY, f"{TYPE}_target_enc"))
@@ -699,6 +693,89 @@ def isolation_forest(st: Stages) -> DataFrame:
     return anomalies.rank_anomalies(anomalies.detect_anomalies(found, PATTERN_GROUP), PATTERN_GROUP)
 
 
+@query
+def anomaly_summary(st: Stages) -> DataFrame:
+    found = anomalies.underpayment_patterns(st.modeling, PATTERN_GROUP)
+    flagged = anomalies.detect_anomalies(found, PATTERN_GROUP)
+    return anomalies.anomaly_summary(st.modeling, flagged, PATTERN_GROUP)
+
+
+@query
+def anomaly_concentration(st: Stages) -> DataFrame:
+    found = anomalies.underpayment_patterns(st.modeling, PATTERN_GROUP)
+    return anomalies.anomaly_concentration(anomalies.detect_anomalies(found, PATTERN_GROUP), TYPE)
+
+
+# ---- models (few boosting rounds: the driver checks rows, not quality) -----------------
+QUICK = 0.02
+
+
+def _trained(st: Stages) -> tuple[models.Trained, DataFrame]:
+    if not hasattr(st, "_model"):
+        est = models.candidates(1, QUICK)["Weighted_Gradient_Boosting"]
+        st._model = models.fit_final(st.modeling, "Weighted_Gradient_Boosting", est)
+    return st._model
+
+
+@query
+def model_compare(st: Stages) -> DataFrame:
+    table = models.training_table(st.modeling, models.fit_features(st.modeling))
+    return models.compare_models(table, models.candidates(table.count(), QUICK), 2)
+
+
+@query
+def model_score(st: Stages) -> DataFrame:
+    """The queue ranked by model confidence instead of the rules."""
+    trained, _ = _trained(st)
+    return queue.build_queue(models.score(st.modeling, trained), trained.name, trained.threshold)
+
+
+@query
+def model_holdout(st: Stages) -> DataFrame:
+    trained, held = _trained(st)
+    return evaluation.metrics_at(held, [("default_0_50", 0.5), ("business_operating_0_40", trained.threshold)])
+
+
+@query
+def importances(st: Stages) -> DataFrame:
+    return models.importances(_trained(st)[0])
+
+
+@query
+def permutation_importance(st: Stages) -> DataFrame:
+    return models.permutation_importance(_trained(st)[0], st.modeling, 2, 2000)
+
+
+@query
+def claim_score(st: Stages) -> DataFrame:
+    """Every claim as a partial scorer record: some fields given, the rest derived."""
+    records = st.modeling.select(
+        *KEY, "procedure_category", "payer_type_proxy", F.col(PLACE).alias("place_of_service"),
+        F.col("Tot_Srvcs").alias("tot_srvcs"), F.col("Tot_Benes").alias("tot_benes"), F.col("Avg_Sbmtd_Chrg").alias("avg_sbmtd_chrg"),
+    ).withColumnsRenamed({PLACE: "place"})
+    return models.score_claims(records, _trained(st)[0], keep=["Rndrng_NPI", CODE, "place"])
+
+
+@query
+def claim_batch_summary(st: Stages) -> DataFrame:
+    return claims_api.batch_summary(claim_score(st))
+
+
+@query
+def complete_claims(st: Stages) -> DataFrame:
+    """Derived defaults of partial scorer records."""
+    records = st.modeling.select(
+        "Rndrng_NPI", CODE, F.col(PLACE).alias("place_of_service"), F.col("Tot_Srvcs").alias("tot_srvcs"), F.col("Tot_Benes").alias("tot_benes"))
+    return rounded(claims_api.complete_claims(records).select(
+        "Rndrng_NPI", CODE, PLACE, "procedure_category", "Avg_Sbmtd_Chrg", "Tot_Srvcs_log", "services_per_beneficiary",
+        "avg_charge_per_beneficiary", "Locality_Count", "avg_charge_per_beneficiary_log"))
+
+
+@query
+def regressor_compare(st: Stages) -> DataFrame:
+    return regression.compare_regressors(st.modeling, regression.regressors(QUICK))
+
+
 def bind(fn: Callable[[Stages], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(open_stages(spark, sf_dir))
 

@@ -618,6 +618,10 @@ _SQL: dict[str, str] = {
     "patterns": _patterns(PAT_KEYS, 20),
     "patterns_by_code": _patterns("Rndrng_Prvdr_State_Abrvtn, Rndrng_Prvdr_Type, HCPCS_Cd, Place_Of_Srvc", 2),
 }
+_SQL["complete_claims"] = f"""SELECT Rndrng_NPI, HCPCS_Cd, Place_Of_Srvc, 'Evaluation_and_Management' AS procedure_category, 250::DOUBLE AS "Avg_Sbmtd_Chrg",
+    {rnd(log1p('Tot_Srvcs'), 6)} AS "Tot_Srvcs_log", {rnd('Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'services_per_beneficiary')},
+    {rnd('250 * Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'avg_charge_per_beneficiary')}, 1::DOUBLE AS "Locality_Count",
+    {rnd(log1p('250 * Tot_Srvcs / greatest(Tot_Benes, 1)'), 6, 'avg_charge_per_beneficiary_log')} FROM modeling"""
 _SQL["state_benchmark"] = _SQL["state_average"]
 
 
