@@ -64,6 +64,15 @@ def parse_bool(col: str | Column) -> Column:
     return F.coalesce(F.lower(_c(col).cast("string")).isin("true", "1", "yes"), F.lit(False))
 
 
+def correlation(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation over complete pairs; NULL for a constant side, where the built-in
+    ``corr`` divides by zero under ANSI mode."""
+    x, y = _c(a).cast("double"), _c(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def _bound(edge: float | None) -> bool:
     return edge is not None
 

@@ -113,7 +113,7 @@ def scatter_sample(df: DataFrame, x: tuple[str, float | None, float | None], y:
 
 
 def pair_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(S.finite(F.corr(a, b)).alias("correlation"))
+    return df.agg(S.correlation(a, b).alias("correlation"))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] = tuple(CORRELATION_COLUMNS)) -> DataFrame:
@@ -122,7 +122,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] = tuple(CORRELATION_COLUMNS))
         return f"c{min(i, j)}_{max(i, j)}"
 
     one = df.agg(*[
-        S.finite(F.corr(cols[i], cols[j])).alias(cell(i, j)) for i in range(len(cols)) for j in range(i, len(cols))
+        S.correlation(cols[i], cols[j]).alias(cell(i, j)) for i in range(len(cols)) for j in range(i, len(cols))
     ])
     return one_to_rows(one, [
         {"row_name": F.lit(a), "column_name": F.lit(b), "correlation": F.col(cell(i, j))}

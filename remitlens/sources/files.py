@@ -81,7 +81,7 @@ def read_preamble_csv(
     head = numbered.where(F.col("_block") == 0).orderBy("_at").limit(header_line + 1).agg(F.max("_at").alias("m")).first()["m"]
     data = numbered.where((F.col("_block") > 0) | (F.col("_at") > F.lit(head))).select(*[
         F.when(~F.col(f"`{n}`").isin(list(null_tokens)), F.col(f"`{n}`")).alias(n) for n in names
-    ]).na.drop(how="all")
+    ]).where(F.coalesce(*[F.col(f"`{n}`") for n in names]).isNotNull())  # not entirely empty
     if columns is not None:
         data = data.select(*[F.col(f"`{old}`").alias(new) for old, new in columns.items()])
     return data if schema is None else cast_to(data, schema)
