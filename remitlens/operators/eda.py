@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from remitlens import constants as C
 from remitlens.functions import scalars as S
+from remitlens.operators.correlation import correlation_row
 from remitlens.operators.ordering import exact_quantiles, sample_n, top_n
 from remitlens.operators.tables import one_to_rows
 
@@ -118,13 +119,9 @@ def pair_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] = tuple(CORRELATION_COLUMNS)) -> DataFrame:
     """Pairwise-complete correlations as (row, column, value): one scan, upper half computed."""
-    def cell(i: int, j: int) -> str:
-        return f"c{min(i, j)}_{max(i, j)}"
-
-    one = df.agg(*[
-        S.correlation(cols[i], cols[j]).alias(cell(i, j)) for i in range(len(cols)) for j in range(i, len(cols))
-    ])
-    return one_to_rows(one, [
-        {"row_name": F.lit(a), "column_name": F.lit(b), "correlation": F.col(cell(i, j))}
-        for i, a in enumerate(cols) for j, b in enumerate(cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    place = {p: f"c{k}" for k, p in enumerate(pairs)}
+    return one_to_rows(correlation_row(df, pairs), [
+        {"row_name": F.lit(a), "column_name": F.lit(b), "correlation": F.col(place.get((a, b)) or place[(b, a)])}
+        for a in cols for b in cols
     ])

@@ -70,6 +70,30 @@ def running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str]) -
     )
 
 
+# Rank error of percentile_approx is at most rows / _SKETCH. Brackets reach two errors to each
+# side of a wanted rank, so above _EXACT_BELOW rows they hold it with at least 4 ranks to spare.
+_SKETCH = 10000
+_EXACT_BELOW = 4 * _SKETCH
+
+
+def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], groups: Sequence[str]) -> DataFrame:
+    """Per group and column, value ranges ``[[low, high], ...]`` that hold the wanted ranks; NULL
+    for small groups, which keep all their values. One scan, map-side sketches."""
+    reach = 2.0 / _SKETCH
+    points = [p for q in probs for p in (max(q - reach, 0.0), min(q + reach, 1.0))]
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.when(~F.isnan(F.col(c)), F.col(c))
+        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, points, _SKETCH).alias(f"p{i}")]
+    sketched = df.select(*groups, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).groupBy(*groups).agg(*aggs)
+    return sketched.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(groups)], *[
+        F.when(F.col(f"n{i}") > _EXACT_BELOW, F.array(*[
+            F.struct(F.col(f"p{i}")[2 * j].alias("low"), F.col(f"p{i}")[2 * j + 1].alias("high")) for j in range(len(probs))
+        ])).alias(f"_b{i}")
+        for i in range(len(cols))
+    ])
+
+
 def exact_quantiles(
     df: DataFrame,
     value_cols: Sequence[str],
@@ -79,54 +103,83 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per (group, column): ``group..., column, n, q1, q2, ...``.
 
-    Copies of a value are collapsed to a count first, then the distinct values get running
-    counts in (group, column, value) order, so neither a hot value nor a hot group is ever held
-    by one task, and no per-group value map is built in memory.
+    A sketch first brackets the wanted ranks. Values outside every bracket only matter as counts,
+    so they collapse to one row per gap on the map side; values inside keep their identity, with
+    copies collapsed. The few rows left get running counts in (group, column, gap, value) order,
+    which yields the exact order statistics. No task ever holds the values of a group, however
+    hot, and the shuffle carries a small fraction of the rows.
     """
     names = list(names or [f"q{i}" for i in range(len(probs))])
     groups = list(group_cols)
-    keys = [*groups, "column"]
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
-        for c in value_cols
-    ])
+    cols = list(value_cols)
+    keys = [*groups, "_col"]
+    bounds = _brackets(df, cols, probs, groups)
+    if groups:
+        same = None
+        for k, g in enumerate(groups):
+            hit = F.col(g).eqNullSafe(F.col(f"_g{k}"))
+            same = hit if same is None else same & hit
+        placed = df.join(bounds, same)
+    else:
+        row = bounds.first()  # one row of 2 x probs numbers per column
+        placed = df.select("*", *[
+            (F.lit(None) if row[f"_b{i}"] is None else F.array(*[
+                F.struct(F.lit(b["low"]).alias("low"), F.lit(b["high"]).alias("high")) for b in row[f"_b{i}"]
+            ])).cast("array<struct<low:double,high:double>>").alias(f"_b{i}")
+            for i in range(len(cols))
+        ])
+
+    def cell(i: int, c: str) -> Column:
+        x = F.col(f"`{c}`").cast("double")
+        gap, inside = F.lit(0), F.lit(False)
+        for j in range(len(probs)):
+            low, high = F.col(f"_b{i}")[j]["low"], F.col(f"_b{i}")[j]["high"]
+            gap = gap + (x >= low).cast("int") + (x > high).cast("int")
+            inside = inside | ((x >= low) & (x <= high))
+        whole = F.col(f"_b{i}").isNull()
+        return F.struct(
+            F.lit(i).alias("_col"), (x.isNotNull() & ~F.isnan(x)).alias("_ok"),
+            F.when(whole, F.lit(0)).otherwise(gap).alias("_gap"), F.when(whole | inside, x).alias("value"),
+        )
+
     counts = (
-        df.select(*groups, F.inline(cells))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*keys, "value")
+        placed.select(*groups, F.inline(F.array(*[cell(i, c) for i, c in enumerate(cols)])))
+        .where("_ok")
+        .groupBy(*keys, "_gap", "value")
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
-    order = [*[F.col(k).asc_nulls_first() for k in keys], F.col("value").asc()]
+    order = [*[F.col(k).asc_nulls_first() for k in keys], F.col("_gap").asc(), F.col("value").asc_nulls_first()]
     cum = running_sums(counts, order, {"_upto": "_cnt"})
-    base = cum.groupBy(*keys).agg(
+    base = cum.groupBy(*[F.col(k).alias(f"_k{m}") for m, k in enumerate(keys)]).agg(
         F.sum("_cnt").alias("n"), F.min(F.col("_upto") - F.col("_cnt")).alias("_start")
     )
-    left, right = cum.alias("v"), base.alias("b")
     same = None
-    for k in keys:
-        hit = F.col(f"v.{k}").eqNullSafe(F.col(f"b.{k}"))
+    for m, k in enumerate(keys):
+        hit = F.col(k).eqNullSafe(F.col(f"_k{m}"))
         same = hit if same is None else same & hit
     last = F.col("_upto") - F.col("_start") - 1      # zero-based positions this value covers
     first = last - F.col("_cnt") + 1
     spots = [(F.col("n") - 1).cast("double") * F.lit(float(p)) for p in probs]
-    covers = [(first <= F.floor(s), F.floor(s) <= last, first <= F.ceil(s), F.ceil(s) <= last) for s in spots]
+    covers = [(first <= F.floor(s)) & (F.floor(s) <= last) for s in spots]
+    above = [(first <= F.ceil(s)) & (F.ceil(s) <= last) for s in spots]
     wanted = None
-    for a, b, c, d in covers:
-        hit = (a & b) | (c & d)
+    for hit in covers + above:
         wanted = hit if wanted is None else wanted | hit
-    picked = left.join(right, same).where(wanted)
-    out = picked.groupBy(*[F.col(f"b.{k}").alias(k) for k in keys], F.col("n")).agg(*[
+    out = cum.join(base, same).where(wanted).groupBy(*keys, "n").agg(*[
         agg
-        for i, (a, b, c, d) in enumerate(covers)
+        for i in range(len(probs))
         for agg in (
-            F.max(F.when(a & b, F.col("value"))).alias(f"_lo{i}"),
-            F.max(F.when(c & d, F.col("value"))).alias(f"_hi{i}"),
+            F.max(F.when(covers[i], F.col("value"))).alias(f"_lo{i}"), F.max(F.when(above[i], F.col("value"))).alias(f"_hi{i}"),
         )
     ])
-    return out.select(*keys, "n", *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (spots[i] - F.floor(spots[i]))).alias(names[i])
-        for i in range(len(probs))
-    ])
+    label = F.array(*[F.lit(c) for c in cols])[F.col("_col")].alias("column")
+    missed = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
+
+    def value(i: int) -> Column:
+        low, high = F.coalesce(F.col(f"_lo{i}"), missed), F.coalesce(F.col(f"_hi{i}"), missed)
+        return low + (high - low) * (spots[i] - F.floor(spots[i]))
+
+    return out.select(*groups, label, "n", *[value(i).alias(names[i]) for i in range(len(probs))])
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -141,13 +194,10 @@ def top_n_ranked(df: DataFrame, order: Sequence[Column], n: int, name: str = "re
     return top.select(F.row_number().over(window).cast("long").alias(name), *[F.col(f"`{c}`") for c in df.columns])
 
 
-_SKETCH = 10000  # accuracy of approx_percentile: rank error at most rows / _SKETCH
-
-
-def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42, small: int = 50_000) -> DataFrame:
+def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42, small: int = 1000) -> DataFrame:
     """Exactly min(n, rows) rows, chosen by md5 of the keys: repeatable on any cluster.
 
-    Small samples are a top-n by hash. Large ones first drop rows that cannot be in the sample
+    Small samples are a top-n by hash (its merge step sees at most n rows per task). Larger ones first drop rows that cannot be in the sample
     (a quantile sketch of the hash gives a cut-off with a guaranteed rank error), then rank the
     few candidates globally, so no task has to hold the sample.
     """
@@ -155,7 +205,8 @@ def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42, small:
     order = [F.col("_hash"), *[F.col(k) for k in keys]]
     if n <= small:
         return top_n(hashed, order, n).drop("_hash")
-    number = S.hash_number(F.col("_hash"))
+    # 48 bits: the sketch works on doubles, so the number must be exact as a double too.
+    number = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("long")
     rows = hashed.count()
     if rows <= n:
         return df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens import constants as C
@@ -101,8 +101,9 @@ def state_benchmark(rvu: DataFrame, gpci: DataFrame) -> DataFrame:
     remaining sums, minima and maxima combine on the map side right after the pairing, so the
     code x locality product is never shuffled.
     """
-    per_state = gpci.groupBy("State").agg(F.count_distinct("Locality_Number").alias("Locality_Count"))
-    counted = gpci.where(F.col("State").isNotNull()).join(per_state, "State")
+    # A state has a few dozen localities at most, so a set per state is a bounded window.
+    places = F.collect_set("Locality_Number").over(Window.partitionBy("State"))
+    counted = gpci.where(F.col("State").isNotNull()).withColumn("Locality_Count", F.size(places).cast("long"))
     usable = clean_rvu(rvu)
     cf = resolve_conversion_factor(usable).scalar()
     codes = usable.select("HCPCS", "WORK_RVU", "NON_FAC_PE_RVU", "FACILITY_PE_RVU", "MP_RVU")

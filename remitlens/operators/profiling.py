@@ -108,9 +108,6 @@ def detect_missing(df: DataFrame, tokens: Sequence[str] = tuple(C.MISSING_TOKENS
     counters.update({(c, "Zero (0) values - review only"): F.col(c) == 0 for c in numbers})
     counters.update({(c, "Negative values - review only"): F.col(c) < 0 for c in numbers})
     counters.update({(c, "Inf / -Inf"): F.abs(F.col(c)) == float("inf") for c in floats})
-    counters.update({
-        (c, "Whitespace Only"): F.btrim(F.col(f"`{c}`"), F.lit(BLANKS)) == "" for c in text
-    })
     kinds = list(counters)
     one = df.agg(F.count(F.lit(1)).alias("n"), *[
         F.count_if(hit).alias(f"k{i}") for i, hit in enumerate(counters.values())
@@ -120,20 +117,29 @@ def detect_missing(df: DataFrame, tokens: Sequence[str] = tuple(C.MISSING_TOKENS
          "Count": F.col(f"k{i}"), "n": F.col("n")}
         for i, (c, kind) in enumerate(kinds)
     ])
+    wanted = sorted({"", *(t.strip() for t in tokens)})
+
+    def trimmed_text(c: str) -> Column:
+        return F.coalesce(F.btrim(F.col(f"`{c}`"), F.lit(BLANKS)), F.lit("nan"))
+
+    # A cheap pass tells which text columns hold a token at all; clean columns stop here.
+    dirty = []
     if text:
+        hits = df.agg(*[F.count_if(trimmed_text(c).isin(wanted)).alias(f"h{i}") for i, c in enumerate(text)]).first()
+        dirty = [c for i, c in enumerate(text) if hits[f"h{i}"]]
+    if dirty:
         # Only cells that hold a token leave this stage, and they combine per (column, token).
         trimmed = F.array(*[
-            F.struct(F.lit(c).alias("Column"), F.lit(dtypes[c]).alias("Dtype"),
-                     F.coalesce(F.btrim(F.col(f"`{c}`"), F.lit(BLANKS)), F.lit("nan")).alias("value"))
-            for c in text
+            F.struct(F.lit(c).alias("Column"), F.lit(dtypes[c]).alias("Dtype"), trimmed_text(c).alias("value"))
+            for c in dirty
         ])
-        wanted = sorted({t.strip() for t in tokens})
         hits = (
             df.select(F.inline(trimmed)).where(F.col("value").isin(wanted))
             .groupBy("Column", "Dtype", "value").agg(F.count(F.lit(1)).alias("Count"))
         )
         names = F.array(*[
-            F.struct(F.lit(t.strip()).alias("key"), F.lit(f'String "{t}"').alias("name")) for t in tokens
+            F.struct(F.lit(key).alias("key"), F.lit(name).alias("name"))
+            for key, name in [*((t.strip(), f'String "{t}"') for t in tokens), ("", "Whitespace Only")]
         ])
         labelled = hits.select(
             "Column", "Dtype", "Count",

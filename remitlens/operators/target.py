@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from remitlens import constants as C
 from remitlens.functions import scalars as S
+from remitlens.operators.correlation import correlation_row
 from remitlens.operators.tables import one_to_rows
 
 
@@ -37,12 +38,8 @@ def leakage_audit(
 ) -> DataFrame:
     """Correlation of every remaining numeric column with the target, largest first: one scan."""
     cols = [c for c in numeric_columns(df) if c not in exclude and c != target]
-    one = df.agg(*[
-        S.round_even(S.correlation(c, target), 4).alias(c) for c in cols
-    ])
+    one = correlation_row(df, [(c, target) for c in cols])
     rows = one_to_rows(one, [
-        {"Feature": F.lit(c), "Correlation_with_Target": F.col(c),
-         "needs_review": F.coalesce(F.abs(F.col(c)) > alarm, F.lit(False))}
-        for c in cols
-    ])
+        {"Feature": F.lit(c), "Correlation_with_Target": S.round_even(f"c{i}", 4)} for i, c in enumerate(cols)
+    ]).withColumn("needs_review", F.coalesce(F.abs("Correlation_with_Target") > alarm, F.lit(False)))
     return rows.orderBy(F.abs("Correlation_with_Target").desc_nulls_last(), "Feature")

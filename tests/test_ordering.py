@@ -61,7 +61,7 @@ def test_quantiles_of_null_groups_and_single_rows(spark):
 @pytest.mark.parametrize("n", [1, 100, 2999, 5000])
 def test_sample_paths_agree(frame, n):
     df, _ = frame
-    small = {r["id"] for r in O.sample_n(df, n, ["id"]).collect()}
+    small = {r["id"] for r in O.sample_n(df, n, ["id"], small=10**6).collect()}
     large = {r["id"] for r in O.sample_n(df, n, ["id"], small=0).collect()}
     assert small == large and len(small) == min(n, 3000)
 
@@ -96,3 +96,22 @@ def test_top_n_ranked(frame):
     df, _ = frame
     got = O.top_n_ranked(df, [F.col("x").desc_nulls_last(), F.col("id")], 5).collect()
     assert [r["report_rank"] for r in got] == [1, 2, 3, 4, 5] and got[0]["x"] >= got[4]["x"]
+
+
+def test_quantiles_of_large_groups_use_brackets(spark):
+    """Above the exact limit only bracketed values survive the map side; results stay exact."""
+    n = 90_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.when(F.col("id") % 3 == 1, "wide").otherwise(None)).alias("g"),
+        F.when(F.col("id") % 5 == 0, 1.5).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 7.0).alias("x"),
+    )
+    pdf = df.toPandas()
+    probs = [0.01, 0.25, 0.5, 0.99]
+    got = O.exact_quantiles(df, ["x"], probs).first()
+    assert np.allclose([got[f"q{i}"] for i in range(4)], np.quantile(pdf["x"], probs), rtol=1e-12)
+    big = df.withColumn("g", F.coalesce("g", F.lit("hot")))
+    rows = {r["g"]: r for r in O.exact_quantiles(big, ["x"], probs, ["g"]).collect()}
+    pdf["g"] = pdf["g"].fillna("hot")
+    assert rows["hot"]["n"] > O._EXACT_BELOW > rows["wide"]["n"]
+    for g, part in pdf.groupby("g"):
+        assert np.allclose([rows[g][f"q{i}"] for i in range(4)], np.quantile(part["x"], probs), rtol=1e-12)
