@@ -196,7 +196,9 @@ def recovery_target(dollar: float = C.TARGET_DOLLAR, pct: float = C.TARGET_PCT)
 
 # ---- queue --------------------------------------------------------------------------
 def estimated_recovery() -> Column:
-    return round_even(F.abs("Total_Dollar_Gap"), 2)
+    """Cents, half to even. The gap inherits the last-digit noise of averaged benchmarks, so an
+    exact half cent is settled first; otherwise task order could move a cent between runs."""
+    return round_mean(F.abs("Total_Dollar_Gap"), 2)
 
 
 def is_surgical(code: str | Column = "HCPCS_Cd") -> Column:

@@ -187,7 +187,7 @@ _CTES: dict[str, str] = {
         FROM (SELECT *, CASE WHEN abs(Total_Dollar_Gap) >= 5000 AND abs(Payment_Gap_Pct) >= 50 THEN 0.95::DOUBLE
             WHEN abs(Total_Dollar_Gap) >= 1000 AND abs(Payment_Gap_Pct) >= 25 THEN 0.85::DOUBLE
             WHEN abs(Total_Dollar_Gap) >= 100 AND abs(Payment_Gap_Pct) >= 10 THEN 0.70::DOUBLE ELSE 0.50::DOUBLE END AS confidence_score,
-            {rnd1('abs(Total_Dollar_Gap)', 2)} AS estimated_recovery,
+            {rnd('abs(Total_Dollar_Gap)', 2)} AS estimated_recovery,
             coalesce(({NUM}) BETWEEN 10000 AND 69999, false) AS is_surgical_hcpcs FROM modeling WHERE Is_Underpaid))""",
     "queue": f"""SELECT row_number() OVER (ORDER BY priority_score DESC, {KEY}) AS rank, Rndrng_NPI, Rndrng_Prvdr_Type,
         Rndrng_Prvdr_State_Abrvtn, HCPCS_Cd, Place_Of_Srvc, payer_type_proxy, Tot_Srvcs, Avg_Mdcr_Alowd_Amt, Expected_Payment_Used,
@@ -450,7 +450,7 @@ def _replace(names, places: int = 6) -> str:
 ST, TY = "Rndrng_Prvdr_State_Abrvtn", "Rndrng_Prvdr_Type"
 
 _SQL: dict[str, str] = {
-    "recovery_by_state": f"""SELECT {ST} AS provider_state, count(*) AS underpaid_rows, {rnd(f"sum({rnd1('abs(Total_Dollar_Gap)', 2)})", 2, 'total_estimated_recovery')},
+    "recovery_by_state": f"""SELECT {ST} AS provider_state, count(*) AS underpaid_rows, {rnd(f"sum({rnd('abs(Total_Dollar_Gap)', 2)})", 2, 'total_estimated_recovery')},
         {rnd('avg(Payment_Gap_Pct)', 6, 'avg_gap_pct')} FROM claims WHERE {CLEAN} AND Is_Underpaid AND {TY} NOT IN {lst(C.NON_APPLICABLE_TYPES)} GROUP BY {ST}""",
     "usable_rvu": f"SELECT {_replace(['WORK_RVU', 'NON_FAC_PE_RVU', 'FACILITY_PE_RVU', 'MP_RVU', 'CONVERSION_FACTOR_FROM_FILE'])} FROM usable",
     "conversion_factor": f"SELECT {rnd('conversion_factor', 6, 'conversion_factor')} FROM cf",
