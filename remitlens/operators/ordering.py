@@ -121,22 +121,21 @@ def exact_quantiles(
             same = hit if same is None else same & hit
         placed = df.join(bounds, same)
     else:
-        row = bounds.first()  # one row of 2 x probs numbers per column
-        placed = df.select("*", *[
-            (F.lit(None) if row[f"_b{i}"] is None else F.array(*[
-                F.struct(F.lit(b["low"]).alias("low"), F.lit(b["high"]).alias("high")) for b in row[f"_b{i}"]
-            ])).cast("array<struct<low:double,high:double>>").alias(f"_b{i}")
-            for i in range(len(cols))
-        ])
+        row = bounds.first()  # one row of 2 x probs numbers per column, used as literals
+        placed = df
+
+    def ranges(i: int) -> list[tuple[Column, Column]]:
+        if groups:
+            return [(F.col(f"_b{i}")[j]["low"], F.col(f"_b{i}")[j]["high"]) for j in range(len(probs))]
+        return [(F.lit(b["low"]), F.lit(b["high"])) for b in row[f"_b{i}"] or []]
 
     def cell(i: int, c: str) -> Column:
         x = F.col(f"`{c}`").cast("double")
         gap, inside = F.lit(0), F.lit(False)
-        for j in range(len(probs)):
-            low, high = F.col(f"_b{i}")[j]["low"], F.col(f"_b{i}")[j]["high"]
+        for low, high in ranges(i):
             gap = gap + (x >= low).cast("int") + (x > high).cast("int")
             inside = inside | ((x >= low) & (x <= high))
-        whole = F.col(f"_b{i}").isNull()
+        whole = F.col(f"_b{i}").isNull() if groups else F.lit(row[f"_b{i}"] is None)
         return F.struct(
             F.lit(i).alias("_col"), (x.isNotNull() & ~F.isnan(x)).alias("_ok"),
             F.when(whole, F.lit(0)).otherwise(gap).alias("_gap"), F.when(whole | inside, x).alias("value"),
