@@ -741,6 +741,12 @@ def importances(st: Stages) -> DataFrame:
     return models.importances(_trained(st)[0])
 
 
+@query
+def coefficients(st: Stages) -> DataFrame:
+    est = models.candidates(st.modeling.count(), QUICK)["Logistic_Regression"]
+    return models.coefficients(models.fit_final(st.modeling, "Logistic_Regression", est)[0])
+
+
 @query
 def permutation_importance(st: Stages) -> DataFrame:
     return models.permutation_importance(_trained(st)[0], st.modeling, 2, 2000)
