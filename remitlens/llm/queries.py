@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import mixing, quality, sharding, simhash
+from remitlens.llm import decontamination, mixing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": sharding.op1,
     "op3_pivotal_mix": mixing.op3,
     "op4_line_frequency": quality.op4,
     "op7_vp_simhash": simhash.op7,
+    "op8_template_leaks": decontamination.op8,
 }
 
 ORACLES: dict[str, str] = {}
