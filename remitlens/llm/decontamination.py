@@ -40,7 +40,7 @@ _TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?:\n]+|[%€$£°]")
 # fixed values: number words and units
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million billion".split())
 UNITS = frozenset("% € $ £ ° percent mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons ml l litre litres liter liters gallon gallons s sec second seconds min minute minutes h hour hours day days week weeks month months year years dollar dollars cent cents euro euros pound pounds mph kmh degree degrees".split())
-_LITERAL, _CAPITAL, _STOP, _NUMBER, _UNIT = range(5)
+_LITERAL, _CAPITAL, _STOP, _NUMBER, _UNIT, _SHOUT = range(6)
 
 
 class Codes(dict):
@@ -56,8 +56,10 @@ class Codes(dict):
             kind = _UNIT
         elif not token[0].isalpha():
             kind = _STOP
+        elif token[0] == low[0]:
+            kind = _LITERAL
         else:
-            kind = _CAPITAL if token[0] != low[0] else _LITERAL
+            kind = _SHOUT if len(token) > 1 and token.isupper() else _CAPITAL
         self[token] = code = (xxhash.xxh64_intdigest(low) & ~7) | kind
         return code
 
@@ -75,7 +77,8 @@ def template(text: str | None, codes: Codes) -> tuple[np.ndarray, np.ndarray, li
     number = kind == _NUMBER
     unit = np.zeros(len(at), dtype=bool)
     unit[1:] = (kind[1:] == _UNIT) & number[:-1]
-    name = (kind == _CAPITAL) & ~first
+    shout = np.concatenate([[False], kind == _SHOUT, [False]])  # text in capitals has no names
+    name = (kind == _CAPITAL) & ~first & ~shout[:-2] & ~shout[2:]
     code[number], code[unit], code[name] = NUMBER, UNIT, NAME
     keep = np.ones(len(at), dtype=bool)
     keep[1:] = ~(name[1:] & name[:-1])

@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import decontamination, mixing, quality, sharding, simhash
+from remitlens.llm import decontamination, htmltext, lengths, mixing, quality, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": sharding.op1,
     "op3_pivotal_mix": mixing.op3,
     "op4_line_frequency": quality.op4,
+    "op6_length_histogram": lengths.op6,
     "op7_vp_simhash": simhash.op7,
     "op8_template_leaks": decontamination.op8,
+    "op9_dom_marginals": htmltext.op9,
+    "op10_warc_archive": warc.op10,
 }
 
 ORACLES: dict[str, str] = {}
