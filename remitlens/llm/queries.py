@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import decontamination, htmltext, lengths, mixing, quality, sharding, simhash, warc
+from remitlens.llm import decontamination, htmltext, lengths, mixing, quality, repeats, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": sharding.op1,
+    "op2_deep_shallow_repeats": repeats.op2,
     "op3_pivotal_mix": mixing.op3,
     "op4_line_frequency": quality.op4,
     "op6_length_histogram": lengths.op6,
