@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import decontamination, htmltext, lengths, mixing, quality, repeats, sharding, simhash, warc
+from remitlens.llm import decontamination, htmltext, lengths, mixing, quality, repeats, sharding, simhash, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": sharding.op1,
     "op2_deep_shallow_repeats": repeats.op2,
     "op3_pivotal_mix": mixing.op3,
     "op4_line_frequency": quality.op4,
+    "op5_temporal_url_lists": urlfilter.op5,
     "op6_length_histogram": lengths.op6,
     "op7_vp_simhash": simhash.op7,
     "op8_template_leaks": decontamination.op8,
@@ -20,4 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc_archive": warc.op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_temporal_url_lists": urlfilter.SQL,
+}
