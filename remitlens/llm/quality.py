@@ -4,11 +4,12 @@ Base rules look at one document. The method's own rule looks across documents: n
 distinct documents are counted per host (``source``) and line, lines in more documents than the limit are
 removed, and a document that keeps less than ``KEEP_SHARE`` of its words is depleted and rejected.
 
-Copies and near copies of one document must not make its lines look like boilerplate, or whole groups of
-clean copies would go before the deduplication sees them. So a document is told apart by its smallest
-line hash other than the line counted: copies share it and count once, unrelated documents do not.
+Documents are counted by distinct text. A group of near copies would still lift all its lines above the limit, and
+clean groups would go before the deduplication sees them. So a line above the limit counts as boilerplate only if the documents
+that hold it keep ``KEEP_SHARE`` of their words on average when all such lines are taken out: true for notices in
+otherwise different documents, false for lines that near copies share.
 
-Lines are counted with map-side sums on (host, line, mark), so a line in a third of all documents is no hot key.
+Lines are counted with map-side sums on (host, line), so a line in a third of all documents is no hot key.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its own; repeated
 rows are all returned; ties need no order; an empty table gives an empty result; further columns are kept aside.
@@ -78,16 +79,20 @@ def frequent_lines(docs: DataFrame) -> DataFrame:
     """(source, h): hashes of lines in more documents of the host than the limit."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit("\x20\x09\x0a\x0b\x0c\x0d")) != "")
-    d = docs.select("source", F.md5(text).alias("doc"), F.array_distinct(F.transform(lines, line_hash)).alias("hs"))
-    hosts = d.groupBy("source", "doc").agg(F.lit(1).alias("one")).groupBy("source").agg(F.count(F.lit(1)).alias("host_docs"))
-    # the mark of a document beside line h: its smallest other hash
-    d = d.withColumn("_two", F.slice(F.sort_array("hs"), 1, 2))
-    d = d.select("source", F.get("_two", F.lit(0)).alias("_a"), F.get("_two", F.lit(1)).alias("_b"), F.explode("hs").alias("h"))
-    d = d.select("source", "h", F.when(F.col("h") == F.col("_a"), F.col("_b")).otherwise(F.col("_a")).alias("mark"))
-    counts = d.groupBy("source", "h", "mark").agg(F.lit(1).alias("one")).groupBy("source", "h").agg(F.count(F.lit(1)).alias("docs"))
-    c, s = counts.where(F.col("docs") > LINE_DOCS).alias("c"), hosts.alias("s")
-    return c.join(s, F.col("c.source").eqNullSafe(F.col("s.source"))).where(
-        F.col("docs") > F.col("host_docs") * LINE_SHARE).select("c.source", "c.h")
+    marked = F.array_distinct(F.transform(lines, lambda x: F.struct(line_hash(x).alias("h"), F.size(as_words(x)).alias("w"))))
+    texts = docs.select("source", F.md5(text).alias("doc"), marked.alias("lines")).groupBy("source", "doc").agg(F.first("lines").alias("lines"))
+    texts = materialize(texts.withColumn("total", F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["w"])), "op4-texts")
+    hosts = texts.groupBy("source").agg(F.count(F.lit(1)).alias("host_docs"))
+    held = texts.select("source", "doc", "total", F.explode("lines").alias("l")).select("source", "doc", "total", "l.h", "l.w")
+    c, s = held.groupBy("source", "h").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > LINE_DOCS).alias("c"), hosts.alias("s")
+    often = c.join(s, F.col("c.source").eqNullSafe(F.col("s.source"))).where(F.col("docs") > F.col("host_docs") * LINE_SHARE).select("c.source", "c.h")
+    often = materialize(often, "op4-often")
+    e, o = held.alias("e"), often.alias("o")
+    hit = materialize(e.join(o, F.col("e.source").eqNullSafe(F.col("o.source")) & (F.col("e.h") == F.col("o.h"))).select("e.source", "e.doc", "e.total", "e.h", "e.w"), "op4-hit")
+    left = hit.groupBy("source", "doc", "total").agg((1 - F.sum("w") / F.col("total")).alias("left")).alias("f")
+    h = hit.alias("h")
+    kept = h.join(left, F.col("h.source").eqNullSafe(F.col("f.source")) & (F.col("h.doc") == F.col("f.doc"))).select("h.source", "h.h", "f.left")
+    return kept.groupBy("source", "h").agg(F.avg("left").alias("left")).where(F.col("left") >= KEEP_SHARE).select("source", "h")
 
 
 def judge(docs: DataFrame) -> DataFrame:
