@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from remitlens import constants as C
 from remitlens.operators.target import numeric_columns
 
-MAX_LEVELS = 1000  # a one-hot column with more levels is refused rather than silently cut
-
 
 def model_features(df: DataFrame, leakage: Sequence[str] = tuple(C.LEAKAGE_COLUMNS)) -> list[str]:
     """Numeric inputs: no leakage, no identifiers, no target; booleans are not numbers."""
@@ -24,12 +22,8 @@ def fit_onehot(df: DataFrame, cols: Sequence[str] = tuple(C.MODEL_CATEGORICALS))
     """Sorted levels per column without the first; kept with the model and reused when scoring."""
     cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols])
     levels = df.select(F.inline(cells)).where(F.col("v").isNotNull()).distinct()
-    found = levels.limit(MAX_LEVELS * len(cols) + 1).collect()
-    vocab = {c: sorted(r["v"] for r in found if r["c"] == c) for c in cols}
-    for c, values in vocab.items():
-        if len(values) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; target-encode it instead")
-    return {c: values[1:] for c, values in vocab.items()}
+    found = levels.collect()  # as many names as the model gets columns
+    return {c: sorted(r["v"] for r in found if r["c"] == c)[1:] for c in cols}
 
 
 def onehot_names(vocab: dict[str, list[str]]) -> list[str]:

@@ -26,6 +26,12 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score", grou
     counts = scored.where(F.col(score).isNotNull()).groupBy(*groups, F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
+    return curve_of_counts(counts, groups)
+
+
+def curve_of_counts(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The curve from positives and negatives per distinct score (threshold, pos, neg)."""
+    groups = list(group_cols)
     order = [*[F.col(g).asc() for g in groups], F.col("threshold").desc()]
     cum = running_sums(counts, order, {"tp": "pos", "fp": "neg"})
     if groups:
@@ -53,7 +59,7 @@ def average_precision(curve: DataFrame, group_cols: Sequence[str] = ()) -> DataF
 def roc_auc(curve: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Rank-sum form with half credit for ties; NULL when one class is absent."""
     p, n = F.sum("pos").cast("double"), F.sum("neg").cast("double")
-    beaten = F.sum(F.col("fp").cast("double") * F.col("pos") - F.col("neg") * F.col("pos") * 0.5)
+    beaten = F.sum(F.col("fp").cast("double") * F.col("pos") - F.col("neg").cast("double") * F.col("pos") * 0.5)
     return curve.groupBy(*group_cols).agg((1.0 - F.try_divide(beaten, p * n)).alias("roc_auc"))
 
 

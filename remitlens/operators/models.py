@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from remitlens import constants as C
 from remitlens.functions import scalars as S
 from remitlens.operators import claims_api, encoding, evaluation, splits
-from remitlens.operators.ordering import global_rank, sample_n
+from remitlens.operators.ordering import global_rank, stratified_sample
 from remitlens.session import materialize
 
 LABEL, BALANCED, POSITIVE = "label", "w_balanced", "w_positive"
@@ -65,45 +66,48 @@ def training_table(df: DataFrame, spec: FeatureSpec, keys: Sequence[str] = tuple
     return materialize(table, "training")
 
 
-def _rounds(n: int, scale: float) -> int:
-    return max(1, int(round(n * scale)))
+class RowScaledLogistic(LogisticRegression):
+    """Logistic regression whose ``regParam`` is 1/C; each fit divides it by the rows that it sees."""
 
+    def _fit(self, dataset: DataFrame) -> Model:
+        own = self.copy({self.regParam: self.getRegParam() / max(dataset.count(), 1)})
+        return super(RowScaledLogistic, own)._fit(dataset)
 
-def candidates(rows: int, scale: float = 1.0, seed: int = 42) -> dict[str, Estimator]:
-    """The five compared models. ``scale`` shrinks tree counts for quick trials."""
+
+def candidates(seed: int = 42) -> dict[str, Estimator]:
+    """The five compared models."""
     scaled = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    logistic = LogisticRegression(
-        featuresCol="scaled", labelCol=LABEL, weightCol=BALANCED, maxIter=_rounds(1000, scale),
-        regParam=1.0 / max(rows, 1), standardization=False,
+    logistic = RowScaledLogistic(
+        featuresCol="scaled", labelCol=LABEL, weightCol=BALANCED, maxIter=1000, regParam=1.0, standardization=False,
     )
     return {
         "Logistic_Regression": Pipeline(stages=[scaled, logistic]),
         "Random_Forest": RandomForestClassifier(
-            labelCol=LABEL, weightCol=BALANCED, numTrees=_rounds(150, scale), maxDepth=12, seed=seed),
+            labelCol=LABEL, weightCol=BALANCED, numTrees=150, maxDepth=12, seed=seed),
         "Hist_Gradient_Boosting": GBTClassifier(
-            labelCol=LABEL, weightCol=BALANCED, maxIter=_rounds(150, scale), stepSize=0.08, maxDepth=5, maxBins=128, seed=seed),
+            labelCol=LABEL, weightCol=BALANCED, maxIter=150, stepSize=0.08, maxDepth=5, maxBins=128, seed=seed),
         "Gradient_Boosting": GBTClassifier(
-            labelCol=LABEL, maxIter=_rounds(100, scale), stepSize=0.1, maxDepth=5, seed=seed),
+            labelCol=LABEL, maxIter=100, stepSize=0.1, maxDepth=5, seed=seed),
         "Weighted_Gradient_Boosting": GBTClassifier(
-            labelCol=LABEL, weightCol=POSITIVE, maxIter=_rounds(150, scale), stepSize=0.1, maxDepth=8, seed=seed),
+            labelCol=LABEL, weightCol=POSITIVE, maxIter=150, stepSize=0.1, maxDepth=8, seed=seed),
     }
 
 
-def grids(name: str, est: Estimator, rows: int, scale: float = 1.0) -> list[dict]:
+def grids(name: str, est: Estimator) -> list[dict]:
     """Search grid of each candidate."""
     grid = ParamGridBuilder()
     if name == "Logistic_Regression":
         logistic = est.getStages()[-1]
-        grid = grid.addGrid(logistic.regParam, [1.0 / (c * max(rows, 1)) for c in (0.01, 0.1, 1.0, 10.0)])
+        grid = grid.addGrid(logistic.regParam, [1.0 / c for c in (0.01, 0.1, 1.0, 10.0)])
     elif name == "Random_Forest":
         # 30 is MLlib's deepest tree, standing in for "no limit"
-        grid = grid.addGrid(est.numTrees, [_rounds(n, scale) for n in (100, 200)]).addGrid(est.maxDepth, [10, 15, 30])
+        grid = grid.addGrid(est.numTrees, [100, 200]).addGrid(est.maxDepth, [10, 15, 30])
     elif name == "Gradient_Boosting":
-        grid = grid.addGrid(est.maxIter, [_rounds(n, scale) for n in (100, 150)]).addGrid(est.maxDepth, [4, 6])
+        grid = grid.addGrid(est.maxIter, [100, 150]).addGrid(est.maxDepth, [4, 6])
     else:
         depths = [6, 10] if name == "Weighted_Gradient_Boosting" else [5, 6]  # 31 / 63 leaves as depth
         grid = (
-            grid.addGrid(est.maxIter, [_rounds(n, scale) for n in (100, 200)])
+            grid.addGrid(est.maxIter, [100, 200])
             .addGrid(est.maxDepth, depths).addGrid(est.stepSize, [0.05, 0.1])
         )
     return grid.build()
@@ -114,19 +118,40 @@ def probability(df: DataFrame) -> DataFrame:
     return df.withColumn("probability_1", vector_to_array("probability")[1])
 
 
-def compare_models(table: DataFrame, models: dict[str, Estimator], k: int = 5) -> DataFrame:
-    """Mean and sd of average precision, mean ROC-AUC and F1 over k folds, best model first."""
+def cross_validate(table: DataFrame, models: dict[str, Estimator], k: int = 5, parallelism: int = 5, fit_rows: int | None = None) -> DataFrame:
+    """Held-out scores (Model, fold, label, score) of every model and fold, stored.
+
+    ``fit_rows`` bounds the labelled rows that a fit sees, in few partitions, so that small trials are
+    not ruled by task overhead; every row is held out and scored once in any case.
+    """
     folded = materialize(splits.fold_col(table, k, KEYS), "folds")
-    parts = []
-    for name, est in models.items():
-        for fold in range(k):
-            model = est.fit(folded.where(F.col("fold") != fold))
-            held = probability(model.transform(folded.where(F.col("fold") == fold)))
-            parts.append(held.select(F.lit(name).alias("Model"), "fold", F.col(LABEL).cast("int").alias(LABEL), F.col("probability_1").alias("score")))
+
+    seen = {fold: folded.where(F.col("fold") != fold) for fold in range(k)}
+    if fit_rows:
+        parts = max(1, fit_rows // 4000)
+        seen = {fold: materialize(stratified_sample(rows, LABEL, fit_rows, KEYS).repartition(parts), "fit") for fold, rows in seen.items()}
+
+    def held_out(job: tuple[str, int]) -> DataFrame:
+        name, fold = job
+        model = models[name].fit(seen[fold])
+        held = probability(model.transform(folded.where(F.col("fold") == fold)))
+        return held.select(F.lit(name).alias("Model"), "fold", F.col(LABEL).cast("int").alias(LABEL), F.col("probability_1").alias("score"))
+
+    with ThreadPoolExecutor(parallelism) as pool:  # fits wait for the cluster, not for this process
+        parts = list(pool.map(held_out, [(name, fold) for name in models for fold in range(k)]))
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    scored = materialize(scored, "cv")
+    return materialize(scored, "cv")
+
+
+def compare_models(table: DataFrame, models: dict[str, Estimator], k: int = 5, parallelism: int = 5, fit_rows: int | None = None) -> DataFrame:
+    """Mean and sd of average precision, mean ROC-AUC and F1 over k folds, best model first."""
+    return cv_table(cross_validate(table, models, k, parallelism, fit_rows))
+
+
+def cv_table(scored: DataFrame) -> DataFrame:
+    """The comparison table from held-out scores (Model, fold, label, score)."""
     groups = ["Model", "fold"]
     curve = evaluation.pr_curve(scored, LABEL, "score", groups)
     hit, positive = F.col("score") >= 0.5, F.col(LABEL) == 1
@@ -254,37 +279,48 @@ def importances(trained: Trained) -> DataFrame:
     return table.orderBy(F.col("Importance").desc(), "Feature")
 
 
-def permutation_importance(trained: Trained, df: DataFrame, n_repeats: int = 5, sample: int | None = 2000, seed: int = 42, target: str = C.TARGET) -> DataFrame:
-    """Mean drop of average precision when one feature is shuffled.
+def permutation_importance(trained: Trained, df: DataFrame, n_repeats: int = 5, seed: int = 42, target: str = C.TARGET) -> DataFrame:
+    """Mean drop of average precision when one feature is shuffled, over all rows of ``df``.
 
-    Rows are put in a random (hash) order once; a repeat shuffles by rotating that order, which
-    is an equi-join on the rank. Every row is then copied once per feature with just that value
-    exchanged, all copies are scored in one transform and evaluated in one grouped curve.
+    Rows are put in a random (hash) order once, and a repeat shuffles by rotating that order: each row is stored
+    beside the rows it takes values from. One pass per feature then exchanges a single entry and collapses to
+    counts per distinct score on the map side. Features the model never uses cannot change a score and are skipped.
     """
-    rows = sample_n(df, sample, KEYS, seed) if sample else df
-    table = trained.spec.vectors(rows).select(*KEYS, F.col(target).cast("int").alias(LABEL), vector_to_array("features").alias("x"))
+    table = trained.spec.vectors(df).select(*KEYS, F.col(target).cast("int").alias(LABEL), vector_to_array("features").alias("x"))
     hashed = table.withColumn("_h", S.row_hash(KEYS, seed + 1))
     ranked = materialize(global_rank(hashed, [F.col("_h"), *[F.col(k) for k in KEYS]], "r").select("r", LABEL, "x"), "permuted")
-    n, width = ranked.count(), len(trained.spec.names)
+    n, names = ranked.count(), trained.spec.names
     if n == 0:
         return _weights_table(df.sparkSession, [], [], "Importance")
-    shifts = F.array(*[
-        F.struct(F.lit(i).alias("rep"), F.lit(1 + (7919 * (i + 1) + seed) % max(n - 1, 1)).alias("by")) for i in range(n_repeats)
-    ])
-    moved = ranked.select("x", "r", F.inline(shifts)).select(
-        (F.pmod(F.col("r") - 1 + F.col("by"), F.lit(n)) + 1).alias("r"), "rep", F.col("x").alias("y")
-    )
-    pairs = ranked.join(moved, "r")
-    swapped = pairs.select(LABEL, "rep", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("j")).select(
-        LABEL, "rep", "j",
-        array_to_vector(F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("y")[i]).otherwise(v))).alias("features"),
-    )
-    plain = ranked.select(LABEL, F.lit(-1).alias("rep"), F.lit(-1).alias("j"), array_to_vector("x").alias("features"))
-    scored = probability(trained.model.transform(plain.unionByName(swapped))).select(LABEL, "rep", "j", F.col("probability_1").alias("score"))
-    curve = evaluation.pr_curve(materialize(scored, "shuffled"), LABEL, "score", ["rep", "j"])
-    ap = evaluation.average_precision(curve, ["rep", "j"])
+    beside = ranked
+    for rep in range(n_repeats):
+        by = 1 + (7919 * (rep + 1) + seed) % max(n - 1, 1)
+        other = ranked.select((F.pmod(F.col("r") - 1 + by, F.lit(n)) + 1).alias("r"), F.col("x").alias(f"y{rep}"))
+        beside = beside.join(other, "r")
+    beside = materialize(beside, "shuffled")
+
+    def counted(rows: DataFrame, j: int) -> DataFrame:
+        """rows (label, rep, x) -> positives and negatives per distinct score."""
+        scored = probability(trained.model.transform(rows.select(LABEL, "rep", array_to_vector("x").alias("features"))))
+        return scored.groupBy("rep", F.lit(j).alias("j"), F.col("probability_1").alias("threshold")).agg(
+            F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) == 0).alias("neg"))
+
+    weights = _last(trained.model)
+    weights = (weights.featureImportances if hasattr(weights, "featureImportances") else weights.coefficients).toArray()
+    used = [j for j in range(len(names)) if weights[j] != 0.0]
+    counts = [counted(beside.select(LABEL, F.lit(-1).alias("rep"), "x"), -1)]
+    for j in used:
+        swapped = F.array(*[F.struct(F.lit(rep).alias("rep"), F.col(f"y{rep}")[j].alias("v")) for rep in range(n_repeats)])
+        one = beside.select(LABEL, "x", F.inline(swapped))
+        vec = F.transform("x", lambda v, i, j=j: F.when(i == j, F.col("v")).otherwise(v))
+        counts.append(counted(one.select(LABEL, "rep", vec.alias("x")), j))
+    stored = materialize(counts[0], "permuted-counts")
+    for part in counts[1:]:
+        stored = stored.unionByName(materialize(part, "permuted-counts"))
+    ap = evaluation.average_precision(evaluation.curve_of_counts(stored, ["rep", "j"]), ["rep", "j"])
     base = ap.where(F.col("j") == -1).agg(F.max("average_precision").alias("b")).scalar()
-    names = F.array(*[F.lit(c) for c in trained.spec.names])
-    return ap.where(F.col("j") >= 0).groupBy("j").agg(F.avg("average_precision").alias("mean_ap")).select(
-        names[F.col("j")].alias("Feature"), (base - F.col("mean_ap")).alias("Importance")
+    found = ap.where(F.col("j") >= 0).groupBy("j").agg(F.avg("average_precision").alias("mean_ap"))
+    every = df.sparkSession.createDataFrame([(j, c) for j, c in enumerate(names)], "j int, Feature string")
+    return every.join(found, "j", "left").select(
+        "Feature", F.when(F.col("mean_ap").isNull(), 0.0).otherwise(base - F.col("mean_ap")).alias("Importance")
     ).orderBy(F.col("Importance").desc(), "Feature")

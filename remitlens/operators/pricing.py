@@ -14,19 +14,16 @@ from remitlens.functions import scalars as S
 def clean_rvu(
     rvu: DataFrame,
     status_filter: Sequence[str] | None = None,
-    modifier_filter: Sequence[str] | None = None,
 ) -> DataFrame:
     """Usable schedule rows: a code, a work value and a malpractice value.
 
-    The two filters are off by default, so every schedule row of a code counts.
+    The filter is off by default, so every schedule row of a code counts.
     """
     out = rvu.where(
         F.col("HCPCS").isNotNull() & F.col("WORK_RVU").isNotNull() & F.col("MP_RVU").isNotNull()
     )
     if status_filter is not None:
         out = out.where(F.col("STATUS_CODE").isin(list(status_filter)))
-    if modifier_filter is not None:
-        out = out.where(F.coalesce(F.col("MOD"), F.lit("")).isin(list(modifier_filter)))
     return out
 
 

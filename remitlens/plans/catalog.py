@@ -706,50 +706,52 @@ def anomaly_concentration(st: Stages) -> DataFrame:
     return anomalies.anomaly_concentration(anomalies.detect_anomalies(found, PATTERN_GROUP), TYPE)
 
 
-# ---- models (few boosting rounds: the driver checks rows, not quality) -----------------
-QUICK = 0.02
+# ---- models --------------------------------------------------------------------------
+def _compared(name: str) -> Callable[[Stages], DataFrame]:
+    return lambda st: models.cv_table(st.cross_validated(name))
 
 
-def _trained(st: Stages) -> tuple[models.Trained, DataFrame]:
-    if not hasattr(st, "_model"):
-        est = models.candidates(1, QUICK)["Weighted_Gradient_Boosting"]
-        st._model = models.fit_final(st.modeling, "Weighted_Gradient_Boosting", est)
-    return st._model
+CANDIDATES = ["Logistic_Regression", "Random_Forest", "Hist_Gradient_Boosting", "Gradient_Boosting", "Weighted_Gradient_Boosting"]
+for _name in CANDIDATES:
+    _QUERIES[f"cv_{_name.lower()}"] = _compared(_name)
 
 
 @query
 def model_compare(st: Stages) -> DataFrame:
-    table = models.training_table(st.modeling, models.fit_features(st.modeling))
-    return models.compare_models(table, models.candidates(table.count(), QUICK), 2)
+    """The candidates side by side, best first; shares the held-out scores of the single comparisons."""
+    scored = st.cross_validated(CANDIDATES[0])
+    for name in CANDIDATES[1:]:
+        scored = scored.unionByName(st.cross_validated(name))
+    return models.cv_table(scored)
 
 
 @query
 def model_score(st: Stages) -> DataFrame:
     """The queue ranked by model confidence instead of the rules."""
-    trained, _ = _trained(st)
+    trained, _ = st.model
     return queue.build_queue(models.score(st.modeling, trained), trained.name, trained.threshold)
 
 
 @query
 def model_holdout(st: Stages) -> DataFrame:
-    trained, held = _trained(st)
+    trained, held = st.model
     return evaluation.metrics_at(held, [("default_0_50", 0.5), ("business_operating_0_40", trained.threshold)])
 
 
 @query
 def importances(st: Stages) -> DataFrame:
-    return models.importances(_trained(st)[0])
+    return models.importances(st.model[0])
 
 
 @query
 def coefficients(st: Stages) -> DataFrame:
-    est = models.candidates(st.modeling.count(), QUICK)["Logistic_Regression"]
+    est = models.candidates()["Logistic_Regression"]
     return models.coefficients(models.fit_final(st.modeling, "Logistic_Regression", est)[0])
 
 
 @query
 def permutation_importance(st: Stages) -> DataFrame:
-    return models.permutation_importance(_trained(st)[0], st.modeling, 2, 2000)
+    return models.permutation_importance(st.model[0], st.modeling)
 
 
 @query
@@ -759,7 +761,7 @@ def claim_score(st: Stages) -> DataFrame:
         *KEY, "procedure_category", "payer_type_proxy", F.col(PLACE).alias("place_of_service"),
         F.col("Tot_Srvcs").alias("tot_srvcs"), F.col("Tot_Benes").alias("tot_benes"), F.col("Avg_Sbmtd_Chrg").alias("avg_sbmtd_chrg"),
     ).withColumnsRenamed({PLACE: "place"})
-    return models.score_claims(records, _trained(st)[0], keep=["Rndrng_NPI", CODE, "place"])
+    return models.score_claims(records, st.model[0], keep=["Rndrng_NPI", CODE, "place"])
 
 
 @query
@@ -779,7 +781,7 @@ def complete_claims(st: Stages) -> DataFrame:
 
 @query
 def regressor_compare(st: Stages) -> DataFrame:
-    return regression.compare_regressors(st.modeling, regression.regressors(QUICK))
+    return regression.compare_regressors(st.modeling)
 
 
 def bind(fn: Callable[[Stages], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

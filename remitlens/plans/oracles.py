@@ -48,11 +48,12 @@ def code_of(key: str) -> str:
     )
     return (
         f"CASE {letters} WHEN {key} % 20 = 5 THEN '99' || lpad(CAST(201 + CAST(floor({key} / 20) AS INTEGER) % 299 AS VARCHAR), 3, '0') "
+        f"WHEN {key} % 20 = 6 THEN '1004' || CAST({k} % 5 AS VARCHAR) "
         f"ELSE lpad(CAST(({key} * 7919 + 11551) % 100000 AS VARCHAR), 5, '0') END"
     )
 
 
-ZERO = "(p_partkey % 20 < 5 OR p_partkey % 17 = 6)"
+ZERO = "(p_partkey % 17 % 4 = 2)"
 KEY = "Rndrng_NPI, HCPCS_Cd, Place_Of_Srvc, Rndrng_Prvdr_State_Abrvtn"
 HASH = f"md5(concat_ws('|', {KEY.replace('Rndrng_NPI', 'CAST(Rndrng_NPI AS VARCHAR)')}, '42'))"
 
@@ -115,7 +116,7 @@ _CTES: dict[str, str] = {
     "payments": f"""SELECT l_suppkey AS Rndrng_NPI, n_name AS Rndrng_Prvdr_State_Abrvtn, {TYPE_CASE} AS Rndrng_Prvdr_Type,
         HCPCS_Cd, l_linestatus AS Place_Of_Srvc, Tot_Benes, Tot_Srvcs, Avg_Sbmtd_Chrg, Avg_Mdcr_Alowd_Amt,
         Avg_Mdcr_Alowd_Amt * 0.8::DOUBLE AS Avg_Mdcr_Pymt_Amt,
-        CASE WHEN l_suppkey % 20 = 0 THEN 'N' WHEN l_suppkey % 20 = 1 THEN NULL ELSE 'Y' END AS Rndrng_Prvdr_Mdcr_Prtcptg_Ind,
+        CASE WHEN l_suppkey % 7 = 0 THEN 'N' WHEN l_suppkey % 7 = 1 THEN NULL ELSE 'Y' END AS Rndrng_Prvdr_Mdcr_Prtcptg_Ind,
         CASE WHEN l_suppkey % 4 = 0 THEN 'O' ELSE 'I' END AS Rndrng_Prvdr_Ent_Cd
         FROM (SELECT l_suppkey, {code_of('l_partkey')} AS HCPCS_Cd, l_linestatus,
             sum(l_quantity) * 10::DOUBLE AS Tot_Srvcs, sum(l_linenumber - 1)::DOUBLE AS Tot_Benes,

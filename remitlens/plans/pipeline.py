@@ -18,7 +18,6 @@ def run(
     payments: DataFrame,
     out: str,
     model: str | None = None,
-    model_scale: float = 1.0,
     pattern_keys: tuple[str, ...] = tuple(C.PATTERN_KEYS),
 ) -> dict[str, DataFrame]:
     """Every step in order; returns the stage tables. ``model`` names a classifier candidate or is
@@ -67,10 +66,10 @@ def run(
     trained = None
     if model is not None:
         spec = models.fit_features(modeling)
-        trained, held = models.fit_final(modeling, model, models.candidates(modeling.count(), model_scale)[model], spec)
+        trained, held = models.fit_final(modeling, model, models.candidates()[model], spec)
         models.save_model(trained, f"{out}/model")
         report(evaluation.threshold_table(held, evaluation.pr_curve(held), business=False), "threshold_tuning_results")
-        report(regression.compare_regressors(modeling, regression.regressors(model_scale)), "regression_validation")
+        report(regression.compare_regressors(modeling, regression.regressors()), "regression_validation")
     scored = models.score(modeling, trained)
     ranked = queue.build_queue(
         scored, trained.name if trained else C.RULE_MODEL_NAME, trained.threshold if trained else C.DEFAULT_THRESHOLD

@@ -13,16 +13,20 @@ from pyspark.sql import functions as F
 
 from remitlens import constants as C
 from remitlens.functions import scalars as S
-from remitlens.operators import cleaning, features, pricing, queue, target, variance
+from remitlens.operators import cleaning, features, models, pricing, queue, target, variance
 from remitlens.session import materialize
 from remitlens.sources import testtables
 
 
+FIT_ROWS = 4000  # labelled rows in each fit of the registered comparison queries
+
+
 class Stages:
     """The pipeline over one set of inputs."""
 
     def __init__(self, rvu: DataFrame, gpci: DataFrame, payments: DataFrame) -> None:
         self.rvu, self.gpci, self.payments = rvu, gpci, payments
+        self._cv: dict[str, DataFrame] = {}
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> Stages:
@@ -70,6 +74,22 @@ class Stages:
     def queue(self) -> DataFrame:
         return materialize(queue.build_queue(self.modeling), "queue")
 
+    @cached_property
+    def model(self) -> tuple[models.Trained, DataFrame]:
+        """The default classifier, fitted once for all queries that score, and its scored hold-out rows."""
+        name = "Weighted_Gradient_Boosting"
+        return models.fit_final(self.modeling, name, models.candidates()[name])
+
+    @cached_property
+    def training(self) -> DataFrame:
+        return models.training_table(self.modeling, models.fit_features(self.modeling))
+
+    def cross_validated(self, name: str) -> DataFrame:
+        """Held-out scores of one candidate in five folds, each fitted on at most FIT_ROWS labelled rows."""
+        if name not in self._cv:
+            self._cv[name] = models.cross_validate(self.training, {name: models.candidates()[name]}, fit_rows=FIT_ROWS)
+        return self._cv[name]
+
     @property
     def scored(self) -> DataFrame:
         """Label and a fixed arithmetic score of the row: evaluation maths without a model."""

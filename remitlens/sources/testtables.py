@@ -35,14 +35,14 @@ def code_of_part(partkey: Column) -> Column:
         code = F.when(hit, value) if code is None else code.when(hit, value)
     code = code.when(
         slot == 5, F.concat(F.lit("99"), F.lpad((F.lit(201) + block % 299).cast("string"), 3, "0"))
-    )
+    ).when(slot == 6, F.concat(F.lit("1004"), (block % 5).cast("string")))  # five codes with many claims each
     return code.otherwise(F.lpad(((partkey * 7919 + 11551) % 100000).cast("string"), 5, "0"))
 
 
 def rvu(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     key = F.col("p_partkey")
-    zero = (key % 20 < 5) | (key % 17 == 6)
+    zero = key % 17 % 4 == 2  # whatever the kind of code
     size = F.col("p_size").cast("double")
 
     def unless_zero(value: Column) -> Column:
@@ -100,7 +100,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("Place_Of_Srvc"),
         "Tot_Benes", "Tot_Srvcs", "Avg_Sbmtd_Chrg", "Avg_Mdcr_Alowd_Amt",
         (F.col("Avg_Mdcr_Alowd_Amt") * 0.8).alias("Avg_Mdcr_Pymt_Amt"),
-        F.when(npi % 20 == 0, "N").when(npi % 20 == 1, F.lit(None).cast("string")).otherwise("Y")
+        F.when(npi % 7 == 0, "N").when(npi % 7 == 1, F.lit(None).cast("string")).otherwise("Y")
         .alias("Rndrng_Prvdr_Mdcr_Prtcptg_Ind"),
         F.when(npi % 4 == 0, "O").otherwise("I").alias("Rndrng_Prvdr_Ent_Cd"),
     )

@@ -8,7 +8,8 @@ from remitlens.operators import claims_api, evaluation, models, regression
 
 @pytest.fixture(scope="module")
 def trained(stages):
-    est = models.candidates(stages.modeling.count(), 0.03)["Gradient_Boosting"]
+    est = models.candidates()["Gradient_Boosting"]
+    est.setMaxIter(3)
     return models.fit_final(stages.modeling, "Gradient_Boosting", est)
 
 
@@ -35,8 +36,7 @@ def test_score_without_a_model_is_null(stages):
 
 
 def test_logistic_and_coefficients(stages):
-    table_rows = stages.modeling.count()
-    est = models.candidates(table_rows, 0.02)["Logistic_Regression"]
+    est = models.candidates()["Logistic_Regression"]
     fitted, _ = models.fit_final(stages.modeling, "Logistic_Regression", est)
     rows = models.coefficients(fitted).collect()
     sizes = [abs(r["Coefficient"]) for r in rows]
@@ -44,12 +44,11 @@ def test_logistic_and_coefficients(stages):
 
 
 def test_tuning_picks_from_the_grid(stages):
-    rows = stages.modeling.count()
     table = models.training_table(stages.modeling, models.fit_features(stages.modeling))
-    est = models.candidates(rows, 0.01)["Logistic_Regression"]
-    grid = models.grids("Logistic_Regression", est, rows)
-    best = models.tune(table, est, grid[:2], k=2)
-    assert len(grid) == 4 and len(best.avgMetrics) == 2
+    est = models.candidates()["Logistic_Regression"]
+    grid = models.grids("Logistic_Regression", est)
+    best = models.tune(table, est, grid)
+    assert len(grid) == len(best.avgMetrics) == 4
 
 
 def test_importances_sum_to_one(trained):
@@ -59,7 +58,7 @@ def test_importances_sum_to_one(trained):
 
 def test_permutation_importance_finds_the_used_feature(stages, trained):
     model, _ = trained
-    table = models.permutation_importance(model, stages.modeling, 2, 500).collect()
+    table = models.permutation_importance(model, stages.modeling).collect()
     assert len(table) == len(model.spec.names)
     best = max(table, key=lambda r: r["Importance"])
     builtin = {r["Feature"]: r["Importance"] for r in models.importances(model).collect()}
@@ -88,6 +87,8 @@ def test_supplied_zero_is_kept(spark):
 
 
 def test_regressors_against_the_formula(stages):
-    table = regression.compare_regressors(stages.modeling, regression.regressors(0.01))
+    regressors = regression.regressors()
+    regressors["Gradient_Boosting_Regressor"].setMaxIter(3)
+    table = regression.compare_regressors(stages.modeling, regressors)
     assert table.count() == 3
     assert regression.best_regressor(table).first()["best_r2"] > 0

@@ -47,7 +47,7 @@ def test_view_treats_the_search_literally(stages):
     lower = queue.queue_filter(stages.queue, code_contains="j").count()
     assert lower == queue.queue_filter(stages.queue, code_contains="J").count()
     with pytest.raises(ValueError):
-        queue.queue_view(stages.queue, 501)
+        queue.queue_view(stages.queue, 0)
     with pytest.raises(ValueError):
         queue.queue_view(stages.queue, 5, "HCPCS_Cd")
 
