@@ -57,9 +57,9 @@ def line_hash(line: Column) -> Column:
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, source, key, lines (those with a word) and the base counts; one row per document."""
+    """doc_id, source, key, doc, lines (those with a word) and the base counts; one row per document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", "source", text.alias("text"), row_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key"), as_words(F.col("text")).alias("words"))
+    d = docs.select("doc_id", "source", text.alias("text"), row_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key"), F.md5(text).alias("doc"), as_words(F.col("text")).alias("words"))
     d = d.withColumn("n_words", F.size("words").cast("long")).withColumn(
         "lines", F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit("\x20\x09\x0a\x0b\x0c\x0d")) != ""))
     windows = F.transform(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))
@@ -67,7 +67,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
     d = d.withColumn("_again", F.coalesce(F.size(F.array_distinct("_h")) < F.size("_h"), F.lit(False)))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PCT)
     return d.select(
-        "doc_id", "source", "key", "lines", "n_words",
+        "doc_id", "source", "key", "doc", "lines", "n_words",
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -75,12 +75,10 @@ def base_rules(docs: DataFrame) -> DataFrame:
     ).withColumn("base_failed", failed)
 
 
-def frequent_lines(docs: DataFrame) -> DataFrame:
-    """(source, h): hashes of lines in more documents of the host than the limit."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit("\x20\x09\x0a\x0b\x0c\x0d")) != "")
-    marked = F.array_distinct(F.transform(lines, lambda x: F.struct(line_hash(x).alias("h"), F.size(as_words(x)).alias("w"))))
-    texts = docs.select("source", F.md5(text).alias("doc"), marked.alias("lines")).groupBy("source", "doc").agg(F.first("lines").alias("lines"))
+def frequent_lines(base: DataFrame) -> DataFrame:
+    """(source, h): hashes of lines in more documents of the host than the limit. ``base`` has source, doc (digest of the
+    text) and lines (hash h, words w)."""
+    texts = base.select("source", "doc", F.array_distinct("lines").alias("lines")).groupBy("source", "doc").agg(F.first("lines").alias("lines"))
     texts = materialize(texts.withColumn("total", F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["w"])), "op4-texts")
     hosts = texts.groupBy("source").agg(F.count(F.lit(1)).alias("host_docs"))
     held = texts.select("source", "doc", "total", F.explode("lines").alias("l")).select("source", "doc", "total", "l.h", "l.w")
@@ -97,15 +95,15 @@ def frequent_lines(docs: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per document: key, base counts, removed (hashes of its removed lines), removed_words, kept."""
-    hot = materialize(frequent_lines(docs), "op4-lines")
     base = materialize(base_rules(docs).withColumn("lines", F.transform("lines", lambda x: F.struct(line_hash(x).alias("h"), F.size(as_words(x)).alias("w")))), "op4-base")
+    hot = materialize(frequent_lines(base), "op4-lines")
     mine = base.select("key", "source", F.explode("lines").alias("l")).groupBy("key", "source", "l.h").agg(F.sum("l.w").alias("w"), F.count(F.lit(1)).alias("_n"))
     m, t = mine.alias("m"), hot.alias("t")
     gone = (m.join(t, F.col("m.source").eqNullSafe(F.col("t.source")) & (F.col("m.h") == F.col("t.h")))
             .groupBy("m.key").agg(F.sum("m.w").alias("_w"), F.collect_set("m.h").alias("removed")))
     times = base.groupBy("key").agg(F.count(F.lit(1)).alias("_times"))  # repeated rows were summed together
     gone = gone.join(times, "key").select("key", (F.col("_w") / F.col("_times")).cast("long").alias("removed_words"), "removed")
-    out = base.drop("lines").join(gone, "key", "left")
+    out = base.drop("lines", "doc").join(gone, "key", "left")
     left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
     return out.withColumn("kept", ~F.col("base_failed") & (left >= F.col("n_words") * KEEP_SHARE))
 
