@@ -89,14 +89,14 @@ def bucketize_right(col: str | Column, edges: Sequence[float | None], labels: Se
 
 
 # ---- pricing and variance -----------------------------------------------------------
-def expected_amount(practice_expense: str, factor: Column) -> Column:
+def price(work: Column, expense: Column, malpractice: Column, work_index: Column, expense_index: Column, malpractice_index: Column, factor: Column) -> Column:
     """(work x index + expense x index + malpractice x index) x factor; no expense -> 0."""
-    expense = F.coalesce(F.col(practice_expense), F.lit(0.0))
-    return (
-        F.col("WORK_RVU") * F.col("WORK_GPCI")
-        + expense * F.col("PE_GPCI")
-        + F.col("MP_RVU") * F.col("MP_GPCI")
-    ) * factor
+    return (work * work_index + F.coalesce(expense, F.lit(0.0)) * expense_index + malpractice * malpractice_index) * factor
+
+
+def expected_amount(practice_expense: str, factor: Column) -> Column:
+    names = ["WORK_RVU", practice_expense, "MP_RVU", "WORK_GPCI", "PE_GPCI", "MP_GPCI"]
+    return price(*[F.col(n) for n in names], factor)
 
 
 def benchmark_used() -> Column:

@@ -124,7 +124,7 @@ def cross_validate(table: DataFrame, models: dict[str, Estimator], k: int = 5, p
     ``fit_rows`` bounds the labelled rows that a fit sees, in few partitions, so that small trials are
     not ruled by task overhead; every row is held out and scored once in any case.
     """
-    folded = materialize(splits.fold_col(table, k, KEYS), "folds")
+    folded = materialize(splits.stratified_folds(table, LABEL, k, KEYS), "folds")
 
     seen = {fold: folded.where(F.col("fold") != fold) for fold in range(k)}
     if fit_rows:
@@ -182,7 +182,7 @@ class AveragePrecisionEvaluator(Evaluator):
 
 def tune(table: DataFrame, est: Estimator, grid: list[dict], k: int = 3, parallelism: int = 4):
     """Grid search by average precision; returns the fitted CrossValidatorModel."""
-    folded = splits.fold_col(table, k, KEYS, seed=11)
+    folded = splits.stratified_folds(table, LABEL, k, KEYS, seed=11)
     return CrossValidator(
         estimator=est, estimatorParamMaps=grid, evaluator=AveragePrecisionEvaluator(), numFolds=k,
         foldCol="fold", parallelism=parallelism,
@@ -202,7 +202,7 @@ class Trained:
 def fit_final(df: DataFrame, name: str, est: Estimator, spec: FeatureSpec | None = None, test: float = 0.2) -> tuple[Trained, DataFrame]:
     """Fit on the training split; returns the model and the scored hold-out rows."""
     spec = spec or fit_features(df)
-    train, held = splits.split(df, test, KEYS)
+    train, held = splits.stratified_split(df, C.TARGET, test, KEYS)
     model = est.fit(training_table(train, spec))
     trained = Trained(name, model, spec)
     scored = score_rows(held, trained).select(
@@ -252,7 +252,7 @@ def load_model(spark: SparkSession, path: str) -> Trained:
 def retune(spark: SparkSession, path: str, df: DataFrame, test: float = 0.2) -> DataFrame:
     """Threshold table of a saved model on its hold-out rows, without refitting."""
     trained = load_model(spark, path)
-    _, held = splits.split(df, test, KEYS)
+    _, held = splits.stratified_split(df, C.TARGET, test, KEYS)
     scored = materialize(score_rows(held, trained).select(
         F.col(C.TARGET).cast("int").alias(LABEL), F.col("probability_1").alias("score")), "retune")
     return evaluation.threshold_table(scored, evaluation.pr_curve(scored))

@@ -117,6 +117,39 @@ def state_benchmark(rvu: DataFrame, gpci: DataFrame) -> DataFrame:
     return priced.groupBy("HCPCS", "State").agg(*_averages(), F.max("Locality_Count").alias("Locality_Count"))
 
 
+def claim_benchmark(payments: DataFrame, rvu: DataFrame, gpci: DataFrame) -> DataFrame:
+    """``state_benchmark`` for the (code, state) pairs that occur in payments, by two equi-joins.
+
+    The few schedule rows of a code and the few localities of a state travel as arrays; sums, minima and maxima
+    over their combinations are folded inside the row, so no product of codes and localities is ever formed.
+    """
+    pairs = payments.select(F.col("HCPCS_Cd").alias("HCPCS"), F.col("Rndrng_Prvdr_State_Abrvtn").alias("State")).where(
+        "HCPCS is not null and State is not null").distinct()
+    usable = clean_rvu(rvu)
+    cf = resolve_conversion_factor(usable).scalar()
+    values = ["WORK_RVU", "NON_FAC_PE_RVU", "FACILITY_PE_RVU", "MP_RVU"]
+    codes = usable.groupBy("HCPCS").agg(F.sort_array(F.collect_list(F.struct(*values))).alias("_rows"))
+    states = gpci.where(F.col("State").isNotNull()).groupBy("State").agg(
+        F.sort_array(F.collect_list(F.struct("WORK_GPCI", "PE_GPCI", "MP_GPCI"))).alias("_places"),
+        F.size(F.collect_set("Locality_Number")).cast("long").alias("Locality_Count")).withColumn("_cf", cf)
+
+    def amounts(pe: str) -> Column:
+        one = lambda r, g: S.price(r["WORK_RVU"], r[pe], r["MP_RVU"], g["WORK_GPCI"], g["PE_GPCI"], g["MP_GPCI"], F.col("_cf"))
+        priced = F.flatten(F.transform("_rows", lambda r: F.transform("_places", lambda g: one(r, g))))
+        return F.filter(priced, lambda x: x.isNotNull())
+
+    def mean(cells: str) -> Column:
+        total = F.aggregate(cells, F.lit(0.0), lambda acc, x: acc + x)
+        return F.when(F.size(cells) > 0, total / F.size(cells))
+
+    joined = pairs.join(codes, "HCPCS").join(states, "State").withColumns(
+        {"_nonfac": amounts("NON_FAC_PE_RVU"), "_fac": amounts("FACILITY_PE_RVU")})
+    return joined.select(
+        "HCPCS", "State", mean("_nonfac").alias("Expected_Payment_NonFacility_Avg"), mean("_fac").alias("Expected_Payment_Facility_Avg"),
+        F.array_min("_nonfac").alias("Expected_Payment_NonFacility_Min"), F.array_max("_nonfac").alias("Expected_Payment_NonFacility_Max"),
+        "Locality_Count")
+
+
 def spot_check(expected: DataFrame, code: str = C.SPOT_CHECK_CODE, states: Sequence[str] = tuple(C.SPOT_CHECK_STATES)) -> DataFrame:
     """Known code in known states, to be compared with the published look-up."""
     return expected.where((F.col("HCPCS") == code) & F.col("State").isin(list(states))).select(

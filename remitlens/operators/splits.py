@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from remitlens import constants as C
 from remitlens.functions import scalars as S
+from remitlens.operators.ordering import global_rank
 
 SPLIT_KEYS = [*C.CLAIM_KEY, "Rndrng_Prvdr_State_Abrvtn"]
 
@@ -24,5 +25,25 @@ def split(df: DataFrame, test: float = 0.2, keys: Sequence[str] = tuple(SPLIT_KE
     return df.where(bucket >= cut), df.where(bucket < cut)
 
 
+def _place_in_class(df: DataFrame, label: str, keys: Sequence[str], seed: int) -> DataFrame:
+    """``_place`` 0.. of each row in hash order among the rows of its label, and the label's row count ``_size``."""
+    hashed = df.withColumn("_hash", S.row_hash(keys, seed))
+    ranked = global_rank(hashed, [F.col(label), F.col("_hash"), *[F.col(k) for k in keys]], "_rank").drop("_hash")
+    starts = ranked.groupBy(label).agg(F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    return ranked.join(F.broadcast(starts), label).withColumn("_place", F.col("_rank") - F.col("_first"))  # one row per class
+
+
+def stratified_split(df: DataFrame, label: str, test: float = 0.2, keys: Sequence[str] = tuple(SPLIT_KEYS), seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(train, test) with each class's share exact to one row."""
+    placed = _place_in_class(df, label, keys, seed)
+    held = F.col("_place") < F.floor(F.col("_size") * F.lit(test) + 0.5)
+    return placed.where(~held).select(*df.columns), placed.where(held).select(*df.columns)
+
+
+def stratified_folds(df: DataFrame, label: str, k: int = 5, keys: Sequence[str] = tuple(SPLIT_KEYS), seed: int = 7, name: str = "fold") -> DataFrame:
+    """Fold 0..k-1 of each row; the folds of a class differ by one row at most."""
+    return _place_in_class(df, label, keys, seed).withColumn(name, (F.col("_place") % k).cast("int")).select(*df.columns, name)
+
+
 def fold_col(df: DataFrame, k: int = 5, keys: Sequence[str] = tuple(SPLIT_KEYS), seed: int = 7, name: str = "fold") -> DataFrame:
     return df.withColumn(name, hash_bucket(keys, k, seed))

@@ -639,13 +639,14 @@ def onehot(st: Stages) -> DataFrame:
 
 @query
 def split_counts(st: Stages) -> DataFrame:
-    bucket = splits.hash_bucket(splits.SPLIT_KEYS, 1000)
-    return st.modeling.groupBy((bucket < 200).alias("is_test"), F.col(C.TARGET).alias("label")).agg(F.count(F.lit(1)).alias("row_count"))
+    train, held = splits.stratified_split(st.modeling, C.TARGET)
+    both = train.select(F.lit(False).alias("is_test"), C.TARGET).unionByName(held.select(F.lit(True).alias("is_test"), C.TARGET))
+    return both.groupBy("is_test", F.col(C.TARGET).alias("label")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query
 def fold_counts(st: Stages) -> DataFrame:
-    return splits.fold_col(st.modeling, 5).groupBy("fold", F.col(C.TARGET).alias("label")).agg(F.count(F.lit(1)).alias("row_count"))
+    return splits.stratified_folds(st.modeling, C.TARGET).groupBy("fold", F.col(C.TARGET).alias("label")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query
@@ -706,6 +707,48 @@ def anomaly_concentration(st: Stages) -> DataFrame:
     return anomalies.anomaly_concentration(anomalies.detect_anomalies(found, PATTERN_GROUP), TYPE)
 
 
+def _fixed_anomalies(st: Stages) -> DataFrame:
+    """Patterns flagged on a fixed arithmetic score: what follows the forest, checkable value by value."""
+    found = anomalies.underpayment_patterns(st.modeling, C.PATTERN_KEYS, 2)
+    mix = (F.col("row_count") * 7919 + F.col("underpaid_rows") * 31 + F.length(TYPE) * 1709 + F.length(STATE) * 577 + F.substring(CODE, 2, 4).cast("long") * 13) % 9973
+    return anomalies.flag_contamination(found.withColumn("raw_score", S.round_even(mix.cast("double") / 9973.0, 6)))
+
+
+@query
+def fixed_anomalies(st: Stages) -> DataFrame:
+    return _fixed_anomalies(st).select(*C.PATTERN_KEYS, "anomaly_flag", "anomaly_score")
+
+
+@query
+def fixed_anomaly_concentration(st: Stages) -> DataFrame:
+    return anomalies.anomaly_concentration(_fixed_anomalies(st), TYPE)
+
+
+@query
+def fixed_anomaly_summary(st: Stages) -> DataFrame:
+    return anomalies.anomaly_summary(st.modeling, _fixed_anomalies(st), C.PATTERN_KEYS, 2)
+
+
+@query
+def fixed_cv_table(st: Stages) -> DataFrame:
+    """The comparison table of two fixed arithmetic scores in five folds."""
+    fold = (F.col("Rndrng_NPI") % 5).cast("int").alias("fold")
+    rows = st.scored.select(F.explode(F.array(F.struct(F.lit("A").alias("Model"), F.col("score")), F.struct(F.lit("B").alias("Model"), S.round_even(F.col("score") * F.col("score"), 3).alias("score")))).alias("m"), "label", fold)
+    return models.cv_table(rows.select("m.Model", "m.score", "label", "fold"))
+
+
+@query
+def fixed_linear_regression(st: Stages) -> DataFrame:
+    """Least squares of the allowed amount on the charge, as the regression step fits it."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = st.modeling.select("Avg_Sbmtd_Chrg", C.REGRESSION_TARGET)
+    est = regression.regressors()["Linear_Regression"]
+    fitted = est.fit(VectorAssembler(inputCols=["Avg_Sbmtd_Chrg"], outputCol="features").transform(rows))
+    return st.modeling.sparkSession.createDataFrame([(float(fitted.coefficients[0]), float(fitted.intercept))], "slope double, intercept double").select(
+        S.round_even(F.col("slope"), 6).alias("slope"), S.round_even(F.col("intercept"), 4).alias("intercept"))
+
+
 # ---- models --------------------------------------------------------------------------
 def _compared(name: str) -> Callable[[Stages], DataFrame]:
     return lambda st: models.cv_table(st.cross_validated(name))

@@ -66,6 +66,11 @@ def bucket(n: int, seed: int = 42) -> str:
     return f"(CAST('0x' || substr({hash_of(seed)}, 1, 15) AS BIGINT) % {n})"
 
 
+def _placed(seed: int) -> str:
+    return (f"SELECT high_recovery_priority AS label, row_number() OVER (PARTITION BY high_recovery_priority ORDER BY {hash_of(seed)}, {KEY}) - 1 AS place, "
+            "count(*) OVER (PARTITION BY high_recovery_priority) AS size FROM modeling")
+
+
 TYPE_CASE = "CASE l_suppkey % 10 " + " ".join(f"WHEN {i} THEN {q(t)}" for i, t in enumerate(PROVIDER_TYPES)) + " END"
 REASON = (
     f"CASE WHEN NOT zero_mask THEN {q(C.ZERO_REASON_NONE)} "
@@ -608,8 +613,8 @@ _SQL: dict[str, str] = {
     "target_encoded_rows": f"SELECT {KEY}, {rnd('coalesce(encoding, (SELECT avg(Avg_Mdcr_Alowd_Amt) FROM train))', 6)} AS {TY}_target_enc FROM test LEFT JOIN ({_encoded(TY)}) ON level = {TY}",
     "onehot": " UNION ALL ".join(
         f"SELECT {q(c + '_')} || {c} AS feature, count(*) AS ones FROM modeling WHERE {c} > (SELECT min({c}) FROM modeling) GROUP BY {c}" for c in C.MODEL_CATEGORICALS),
-    "split_counts": f"SELECT {bucket(1000)} < 200 AS is_test, high_recovery_priority AS label, count(*) AS row_count FROM modeling GROUP BY 1, 2",
-    "fold_counts": f"SELECT {bucket(5, 7)}::INT AS fold, high_recovery_priority AS label, count(*) AS row_count FROM modeling GROUP BY 1, 2",
+    "split_counts": f"""SELECT place < floor(size * 0.2 + 0.5) AS is_test, label, count(*) AS row_count FROM ({_placed(42)}) GROUP BY 1, 2""",
+    "fold_counts": f"SELECT (place % 5)::INT AS fold, label, count(*) AS row_count FROM ({_placed(7)}) GROUP BY 1, 2",
     "stratified_sample": f"""WITH_STEP s AS (SELECT {KEY}, high_recovery_priority, row_number() OVER (PARTITION BY high_recovery_priority ORDER BY {HASH}, {KEY}) AS r FROM modeling),
         n AS (SELECT count(*) AS n, CAST(floor(1000 * avg(high_recovery_priority)) AS BIGINT) AS p FROM modeling)
         SELECT {KEY}, high_recovery_priority FROM s, n WHERE n <= 1000 OR r <= CASE WHEN high_recovery_priority = 1 THEN p ELSE 1000 - p END""",
@@ -623,6 +628,25 @@ _SQL["complete_claims"] = f"""SELECT Rndrng_NPI, HCPCS_Cd, Place_Of_Srvc, 'Evalu
     {rnd(log1p('Tot_Srvcs'), 6)} AS "Tot_Srvcs_log", {rnd('Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'services_per_beneficiary')},
     {rnd('250 * Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'avg_charge_per_beneficiary')}, 1::DOUBLE AS "Locality_Count",
     {rnd(log1p('250 * Tot_Srvcs / greatest(Tot_Benes, 1)'), 6, 'avg_charge_per_beneficiary_log')} FROM modeling"""
+_PK = ", ".join(C.PATTERN_KEYS)
+_RAW = f"""SELECT {_PK}, {rnd1("((row_count * 7919 + underpaid_rows * 31 + length(Rndrng_Prvdr_Type) * 1709 + length(Rndrng_Prvdr_State_Abrvtn) * 577 + TRY_CAST(substr(HCPCS_Cd, 2, 4) AS BIGINT) * 13) % 9973)::DOUBLE / 9973::DOUBLE", 6)} AS raw
+    FROM (SELECT {_PK}, count(*) AS row_count, count(*) FILTER (Is_Underpaid) AS underpaid_rows FROM modeling GROUP BY {_PK} HAVING count(*) >= 2)"""
+_FLAGGED = f"SELECT {_PK}, raw > cut AS anomaly_flag, {rnd1('raw - cut', 6)} AS anomaly_score FROM ({_RAW}), (SELECT quantile_cont(raw, 0.9) AS cut FROM ({_RAW}))"
+_SQL["fixed_anomalies"] = _FLAGGED
+_SQL["fixed_anomaly_concentration"] = f"SELECT Rndrng_Prvdr_Type, count(*) AS anomaly_patterns FROM ({_FLAGGED}) WHERE anomaly_flag GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
+_SQL["fixed_anomaly_summary"] = f"""SELECT unnest(['input_rows', 'total_groups_formed', 'groups_scored_min_rows', 'groups_scored', 'anomaly_patterns', 'anomaly_rate_pct', 'contamination_setting', 'grouping_columns']) AS metric,
+    unnest([(SELECT count(*) FROM modeling)::VARCHAR, (SELECT count(*) FROM (SELECT DISTINCT {_PK} FROM modeling))::VARCHAR, '2', n::VARCHAR, hits::VARCHAR,
+        {rnd1('hits::DOUBLE / n * 100', 4)}::VARCHAR, '{C.CONTAMINATION}', '{_PK}']) AS value FROM (SELECT count(*) AS n, count(*) FILTER (anomaly_flag) AS hits FROM ({_FLAGGED}))"""
+_CV = f"""SELECT m, fold, score, label FROM (SELECT 'A' AS m, Rndrng_NPI % 5 AS fold, score, label FROM scored
+    UNION ALL SELECT 'B', Rndrng_NPI % 5, {rnd1('score * score', 3)}, label FROM scored)"""
+_SQL["fixed_cv_table"] = f"""SELECT m AS "Model", {rnd('avg(ap)', 4)} AS "Mean_PR_AUC", {rnd('stddev_pop(ap)', 4)} AS "Std_PR_AUC", {rnd('avg(auc)', 4)} AS "Mean_ROC_AUC", {rnd('avg(f1)', 4)} AS "Mean_F1"
+    FROM (SELECT m, fold, sum(pos * (tp::DOUBLE / (tp + fp))) / sum(pos) AS ap,
+        1 - sum(fp::DOUBLE * pos - neg * pos * 0.5::DOUBLE) / (sum(pos)::DOUBLE * sum(neg)::DOUBLE) AS auc,
+        2::DOUBLE * sum(pos) FILTER (score >= 0.5) / (sum(pos + neg) FILTER (score >= 0.5) + sum(pos)) AS f1
+      FROM (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp
+        FROM (SELECT m, fold, score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM ({_CV}) GROUP BY ALL)
+        WINDOW w AS (PARTITION BY m, fold ORDER BY score DESC)) GROUP BY m, fold) GROUP BY m"""
+_SQL["fixed_linear_regression"] = f"SELECT {rnd1('regr_slope(Avg_Mdcr_Alowd_Amt, Avg_Sbmtd_Chrg)', 6)} AS slope, {rnd1('regr_intercept(Avg_Mdcr_Alowd_Amt, Avg_Sbmtd_Chrg)', 4)} AS intercept FROM modeling"
 _SQL["state_benchmark"] = _SQL["state_average"]
 
 

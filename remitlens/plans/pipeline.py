@@ -27,7 +27,8 @@ def run(
 
     # price, join, measure
     report(pricing.spot_check(pricing.expected_payment(rvu, gpci)), "sanity_check_known_codes")
-    benchmark = write_stage(pricing.state_benchmark(rvu, gpci), out, "benchmark")
+    payments = write_stage(payments, out, "payments")  # a CSV is parsed once; four readers follow
+    benchmark = write_stage(pricing.claim_benchmark(payments, rvu, gpci), out, "benchmark")
     claims = write_stage(variance.claims_with_variance(payments, benchmark), out, "claims_with_variance")
     report(metrics_long(variance.join_audit(payments, benchmark)), "join_audit")
     missing = variance.unmatched(payments, benchmark)

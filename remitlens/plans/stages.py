@@ -40,15 +40,20 @@ class Stages:
 
     @property
     def benchmark(self) -> DataFrame:
+        """Every (code, state) pair, as listed by the reports."""
         return pricing.state_benchmark(self.rvu, self.gpci)
 
+    @property
+    def claim_benchmark(self) -> DataFrame:
+        return pricing.claim_benchmark(self.payments, self.rvu, self.gpci)
+
     @property
     def joined(self) -> DataFrame:
-        return variance.join_benchmark(self.payments, self.benchmark)
+        return variance.join_benchmark(self.payments, self.claim_benchmark)
 
     @property
     def claims_lazy(self) -> DataFrame:
-        return variance.claims_with_variance(self.payments, self.benchmark)
+        return variance.claims_with_variance(self.payments, self.claim_benchmark)
 
     @cached_property
     def claims(self) -> DataFrame:
