@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from remitlens.operators import (
     pricing, profiling, queue, regression, reports, splits, tables, target, variance,
 )
 from remitlens.plans.stages import Stages, open_stages
+from remitlens.session import shared_dir
+from remitlens.sources import files, sinks
 
 _QUERIES: dict[str, Callable[[Stages], DataFrame]] = {}
 
@@ -749,6 +752,57 @@ def fixed_linear_regression(st: Stages) -> DataFrame:
         S.round_even(F.col("slope"), 6).alias("slope"), S.round_even(F.col("intercept"), 4).alias("intercept"))
 
 
+# ---- file path: the tables written as published files, and read back through the scans ----
+def _as_file(df: DataFrame, header: str, preamble: int, name: str) -> str:
+    """One text file: notes, a header with repeated names, rows with missing-value tokens, blank rows."""
+    spark = df.sparkSession
+    line = F.to_csv(F.struct(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NA")).alias(f"c{i}") for i, c in enumerate(df.columns)]))
+    top = [(i, f'"note {i}, with a comma",,') for i in range(preamble)] + [(preamble, header), (preamble + 1, "," * (len(df.columns) - 1))]
+    rows = spark.createDataFrame(top, "at long, value string").unionByName(df.select(F.lit(preamble + 2).cast("long").alias("at"), line.alias("value")))
+    path = f"{shared_dir(spark)}/remitlens/{name}-{uuid.uuid4().hex}"
+    rows.repartition(1).sortWithinPartitions("at").select("value").write.text(path)
+    return path
+
+
+@query
+def files_rvu(st: Stages) -> DataFrame:
+    header = "HCPCS,DESCRIPTION,CODE,RVU,PE RVU,PE RVU,RVU,FACTOR"
+    return rounded(files.read_rvu(st.rvu.sparkSession, _as_file(st.rvu, header, files.RVU_HEADER_LINE, "rvu-file")))
+
+
+@query
+def files_gpci(st: Stages) -> DataFrame:
+    return rounded(files.read_gpci(st.gpci.sparkSession, _as_file(st.gpci, ",".join(files.GPCI_COLUMNS), files.GPCI_HEADER_LINE, "gpci-file")))
+
+
+@query
+def files_payments(st: Stages) -> DataFrame:
+    """The newest of two payments files under one folder."""
+    spark = st.payments.sparkSession
+    root = f"{shared_dir(spark)}/remitlens/payments-{uuid.uuid4().hex}"
+    text = st.payments.select(*[F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(c) for c in st.payments.columns])
+    text.limit(3).repartition(1).write.option("header", True).csv(f"{root}/2022")
+    text.repartition(1).write.option("header", True).csv(f"{root}/2023")
+    return rounded(files.read_payments(spark, root, "part-*.csv"))
+
+
+@query
+def stage_sink(st: Stages) -> DataFrame:
+    """The queue written as a partitioned stage table and read back."""
+    root = f"{shared_dir(st.queue.sparkSession)}/remitlens/sink-{uuid.uuid4().hex}"
+    return sinks.write_stage(st.queue.select("rank", *KEY, "priority_tier"), root, "queue", ["priority_tier"])
+
+
+@query
+def report_sink(st: Stages) -> DataFrame:
+    """A roll-up written as one CSV file and read back."""
+    spark = st.queue.sparkSession
+    path = f"{shared_dir(spark)}/remitlens/report-{uuid.uuid4().hex}"
+    report = reports.by_state(st.queue)
+    sinks.write_report(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
 # ---- models --------------------------------------------------------------------------
 def _compared(name: str) -> Callable[[Stages], DataFrame]:
     return lambda st: models.cv_table(st.cross_validated(name))

@@ -628,6 +628,11 @@ _SQL["complete_claims"] = f"""SELECT Rndrng_NPI, HCPCS_Cd, Place_Of_Srvc, 'Evalu
     {rnd(log1p('Tot_Srvcs'), 6)} AS "Tot_Srvcs_log", {rnd('Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'services_per_beneficiary')},
     {rnd('250 * Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'avg_charge_per_beneficiary')}, 1::DOUBLE AS "Locality_Count",
     {rnd(log1p('250 * Tot_Srvcs / greatest(Tot_Benes, 1)'), 6, 'avg_charge_per_beneficiary_log')} FROM modeling"""
+_SQL["files_rvu"] = f"SELECT {_replace(['WORK_RVU', 'NON_FAC_PE_RVU', 'FACILITY_PE_RVU', 'MP_RVU', 'CONVERSION_FACTOR_FROM_FILE'])} FROM rvu"
+_SQL["files_gpci"] = f"SELECT {_replace(['WORK_GPCI', 'PE_GPCI', 'MP_GPCI'])} FROM gpci"
+_SQL["files_payments"] = _SQL["payments"]
+_SQL["stage_sink"] = f"SELECT rank, {KEY}, priority_tier FROM queue"
+_SQL["report_sink"] = _SQL["rollup_state"]
 _PK = ", ".join(C.PATTERN_KEYS)
 _RAW = f"""SELECT {_PK}, {rnd1("((row_count * 7919 + underpaid_rows * 31 + length(Rndrng_Prvdr_Type) * 1709 + length(Rndrng_Prvdr_State_Abrvtn) * 577 + TRY_CAST(substr(HCPCS_Cd, 2, 4) AS BIGINT) * 13) % 9973)::DOUBLE / 9973::DOUBLE", 6)} AS raw
     FROM (SELECT {_PK}, count(*) AS row_count, count(*) FILTER (Is_Underpaid) AS underpaid_rows FROM modeling GROUP BY {_PK} HAVING count(*) >= 2)"""
