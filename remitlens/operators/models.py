@@ -12,10 +12,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,6 +201,13 @@ class Trained:
     threshold: float = C.BUSINESS_THRESHOLD
 
 
+def fixed_logistic(spark: SparkSession, spec: FeatureSpec, weights: Sequence[float], intercept: float, name: str = "Fixed_Logistic") -> Trained:
+    """A logistic model with given coefficients: published weights, or scoring without a fit."""
+    sc = spark.sparkContext
+    java = sc._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(name, _py2java(sc, Vectors.dense(list(weights))), float(intercept))
+    return Trained(name, LogisticRegressionModel(java), spec)
+
+
 def fit_final(df: DataFrame, name: str, est: Estimator, spec: FeatureSpec | None = None, test: float = 0.2) -> tuple[Trained, DataFrame]:
     """Fit on the training split; returns the model and the scored hold-out rows."""
     spec = spec or fit_features(df)

@@ -866,6 +866,34 @@ def claim_batch_summary(st: Stages) -> DataFrame:
     return claims_api.batch_summary(claim_score(st))
 
 
+FIXED_WEIGHTS = {"Tot_Srvcs_log": 0.9, "services_per_beneficiary": -0.02, "avg_charge_per_beneficiary_log": -0.45}
+
+
+def _fixed_model(st: Stages) -> models.Trained:
+    spec = models.FeatureSpec(list(FIXED_WEIGHTS), {})
+    return models.fixed_logistic(st.modeling.sparkSession, spec, list(FIXED_WEIGHTS.values()), -0.5)
+
+
+@query
+def fixed_claim_score(st: Stages) -> DataFrame:
+    """Batch claim scoring with given coefficients."""
+    records = st.modeling.select(*KEY, F.col("Tot_Srvcs").alias("tot_srvcs"), F.col("Tot_Benes").alias("tot_benes")).withColumnsRenamed({PLACE: "place"})
+    scored = models.score_claims(records, _fixed_model(st), keep=["Rndrng_NPI", CODE, "place"])
+    return scored.withColumn("top_risk_factors", F.array_join("top_risk_factors", "; "))
+
+
+@query
+def fixed_claim_summary(st: Stages) -> DataFrame:
+    return claims_api.batch_summary(fixed_claim_score(st))
+
+
+@query
+def fixed_model_score(st: Stages) -> DataFrame:
+    """The queue's confidence from a model with given coefficients."""
+    ranked = queue.build_queue(models.score(st.modeling, _fixed_model(st)), "Fixed_Logistic", C.BUSINESS_THRESHOLD)
+    return ranked.select(*KEY, S.round_even(F.col("confidence_score"), 4).alias("confidence_score"), "predicted_high_priority")
+
+
 @query
 def complete_claims(st: Stages) -> DataFrame:
     """Derived defaults of partial scorer records."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from remitlens import constants as C
+from remitlens.functions import scalars as S
 from remitlens.plans import catalog
 from remitlens.sources.testtables import PROVIDER_TYPES
 
@@ -628,6 +629,19 @@ _SQL["complete_claims"] = f"""SELECT Rndrng_NPI, HCPCS_Cd, Place_Of_Srvc, 'Evalu
     {rnd(log1p('Tot_Srvcs'), 6)} AS "Tot_Srvcs_log", {rnd('Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'services_per_beneficiary')},
     {rnd('250 * Tot_Srvcs / greatest(Tot_Benes, 1)', 6, 'avg_charge_per_beneficiary')}, 1::DOUBLE AS "Locality_Count",
     {rnd(log1p('250 * Tot_Srvcs / greatest(Tot_Benes, 1)'), 6, 'avg_charge_per_beneficiary_log')} FROM modeling"""
+_PPL = "greatest(Tot_Benes, 1)"
+_LOGIT = f"""-0.5::DOUBLE + 0.9::DOUBLE * {log1p('Tot_Srvcs')} - 0.02::DOUBLE * (Tot_Srvcs / {_PPL}) - 0.45::DOUBLE * {log1p(f'250 * Tot_Srvcs / {_PPL}')}"""
+_FIXED_SCORE = f"SELECT *, 1::DOUBLE / (1::DOUBLE + exp(-({_LOGIT}))) AS p FROM modeling"
+_TIERED = f"SELECT *, CASE WHEN p >= 0.8 THEN 'Critical' WHEN p >= 0.6 THEN 'High' WHEN p >= 0.4 THEN 'Medium' ELSE 'Low' END AS t FROM ({_FIXED_SCORE})"
+_SQL["fixed_claim_score"] = f"""SELECT Rndrng_NPI, HCPCS_Cd, Place_Of_Srvc AS place, {rnd1('p', 4)} AS recovery_probability, 0.4::DOUBLE AS operating_threshold, p >= 0.4 AS predicted_high_priority, t AS priority_tier,
+    CASE t {" ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in C.PROBABILITY_ACTIONS.items())} END AS recommended_action,
+    CASE {" ".join(f"WHEN p >= {floor} THEN {q(text)}" for floor, text in C.PROBABILITY_SIGNALS)} ELSE {q(C.PROBABILITY_SIGNAL_LOW)} END AS estimated_recovery_signal,
+    {rnd1('p', 4)} AS confidence_score, 'Fixed_Logistic' AS model_name,
+    array_to_string(list_transform(list_sort(list_filter([{{'size': -abs({log1p('Tot_Srvcs')}), 'pos': 0, 'label': {q(S.factor_label('Tot_Srvcs_log'))}}}, {{'size': -abs(Tot_Srvcs / {_PPL}), 'pos': 1, 'label': {q(S.factor_label('services_per_beneficiary'))}}},
+        {{'size': -abs({log1p(f'250 * Tot_Srvcs / {_PPL}')}), 'pos': 2, 'label': {q(S.factor_label('avg_charge_per_beneficiary_log'))}}}], lambda e: e.size <> 0)), lambda e: e.label), '; ') AS top_risk_factors FROM ({_TIERED})"""
+_SQL["fixed_claim_summary"] = f"SELECT count(*) AS total_claims, count(*) FILTER (t IN ('Critical', 'High')) AS high_priority_count, count(*) FILTER (t = 'Critical') AS critical_count FROM ({_TIERED})"
+_SQL["fixed_model_score"] = f"""SELECT {KEY}, {rnd1('1::DOUBLE / (1::DOUBLE + exp(-(-0.5::DOUBLE + 0.9::DOUBLE * Tot_Srvcs_log - 0.02::DOUBLE * services_per_beneficiary - 0.45::DOUBLE * avg_charge_per_beneficiary_log)))', 4)} AS confidence_score,
+    1::DOUBLE / (1::DOUBLE + exp(-(-0.5::DOUBLE + 0.9::DOUBLE * Tot_Srvcs_log - 0.02::DOUBLE * services_per_beneficiary - 0.45::DOUBLE * avg_charge_per_beneficiary_log))) >= 0.4 AS predicted_high_priority FROM modeling WHERE Is_Underpaid"""
 _SQL["files_rvu"] = f"SELECT {_replace(['WORK_RVU', 'NON_FAC_PE_RVU', 'FACILITY_PE_RVU', 'MP_RVU', 'CONVERSION_FACTOR_FROM_FILE'])} FROM rvu"
 _SQL["files_gpci"] = f"SELECT {_replace(['WORK_GPCI', 'PE_GPCI', 'MP_GPCI'])} FROM gpci"
 _SQL["files_payments"] = _SQL["payments"]
