@@ -321,7 +321,7 @@ def permutation_importance(trained: Trained, df: DataFrame, n_repeats: int = 5,
     for j in used:
         swapped = F.array(*[F.struct(F.lit(rep).alias("rep"), F.col(f"y{rep}")[j].alias("v")) for rep in range(n_repeats)])
         one = beside.select(LABEL, "x", F.inline(swapped))
-        vec = F.transform("x", lambda v, i, j=j: F.when(i == j, F.col("v")).otherwise(v))
+        vec = F.concat(F.slice("x", 1, j), F.array("v"), F.slice("x", j + 2, max(len(names) - j - 1, 0)))
         counts.append(counted(one.select(LABEL, "rep", vec.alias("x")), j))
     stored = materialize(counts[0], "permuted-counts")
     for part in counts[1:]:

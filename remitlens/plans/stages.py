@@ -109,12 +109,21 @@ class Stages:
         )
 
 
-_OPEN: dict[tuple[str, str], Stages] = {}
+_OPEN: dict[tuple, Stages] = {}
+_SOURCES = ("part", "nation", "lineitem", "supplier")
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Change time and size of the input tables: stages of other inputs are other stages."""
+    conf, fs = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    paths = [fs.Path(f"{sf_dir}/{t}.parquet") for t in _SOURCES]
+    return tuple((p.getFileSystem(conf).getFileStatus(p).getModificationTime(), p.getFileSystem(conf).getContentSummary(p).getLength()) for p in paths)
 
 
 def open_stages(spark: SparkSession, sf_dir: str) -> Stages:
     """Stages of the given tables, shared by all queries of one application."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
     if key not in _OPEN:
-        _OPEN[key] = Stages.from_tables(spark, sf_dir.rstrip("/"))
+        _OPEN[key] = Stages.from_tables(spark, sf_dir)
     return _OPEN[key]
