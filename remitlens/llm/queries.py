@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.llm import decontamination, htmltext, lengths, mixing, quality, repeats, sharding, simhash, urlfilter, warc
+from remitlens.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": sharding.op1,
@@ -20,7 +23,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_dom_marginals": htmltext.op9,
     "op10_warc_archive": warc.op10,
 }
-
-ORACLES: dict[str, str] = {
-    "op5_temporal_url_lists": urlfilter.SQL,
-}
