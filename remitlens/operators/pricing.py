@@ -37,14 +37,16 @@ def resolve_conversion_factor(rvu: DataFrame, fallback: float = C.CONVERSION_FAC
     return rvu.agg(F.when(low == high, high).otherwise(F.lit(fallback)).alias("conversion_factor"))
 
 
-def pair_all(left: DataFrame, right: DataFrame, left_parts: int = 8, right_parts: int = 4) -> DataFrame:
+def pair_all(left: DataFrame, right: DataFrame, left_parts: int | None = None, right_parts: int = 4) -> DataFrame:
     """Every left row with every right row, as an equi-join on a grid of fragments.
 
     Left rows fall into ``left_parts`` fragments and are copied once per right fragment, and the
     other way round, so each pair meets in exactly one grid cell. A small right side is still
     hash-broadcast by Catalyst; a large one is shuffled over left_parts x right_parts cells
-    instead of being copied whole to every task.
+    instead of being copied whole to every task. Without ``left_parts`` the grid has as many cells
+    as the session has shuffle partitions.
     """
+    left_parts = left_parts or max(1, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")) // right_parts)
     def side(df: DataFrame, own: str, own_parts: int, other: str, other_parts: int) -> DataFrame:
         mine = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(own_parts)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1)))
