@@ -5,12 +5,17 @@ numbers turn into typed placeholders, whose values are kept beside as slots; oth
 ``WINDOW`` template tokens are hashed and joined with those of the benchmark. Matched windows on one diagonal (same
 shift between item and document) form a candidate; it counts if its slots are consistent: every value of the item is
 replaced by one value in the document throughout. A document holds an item if consistent windows cover at least
-``COVER`` of the item's template, so a question asked again with other numbers or names is caught as well.
+``COVER`` of the item's template, so a question asked again with other numbers or names is caught as well. A window that starts
+with a capitalised first word is also hashed with a name there, as the same words may stand inside a sentence elsewhere.
+
+Verbatim copies need no template: windows of lower-cased tokens with their values are hashed and joined as well, also where they have
+few literals. A document also holds an item if such windows cover ``COVER`` of its tokens or a run of ``RUN`` tokens, whatever else on
+the diagonal is inconsistent.
 
 When the benchmark has at most ``FILTER_WINDOWS`` windows, their hashes are sent to the scan of the documents, which
 then emits matching windows only; above that bound every window goes to the join. The join is the same in both cases.
 
-Defined results: null and wordless texts hold nothing and match nothing; items of fewer than ``SHORTEST`` tokens
+Defined results: null and wordless texts hold nothing and match nothing; items of fewer than ``SHORTEST`` tokens (values included)
 are too short to tell and match nothing, items shorter than a window are matched as one window; items of equal text count once, under
 their smallest id; repeated documents are reported once per different (doc_id, text); empty tables give empty results.
 """
@@ -33,8 +38,10 @@ WINDOW = 8
 SHORTEST = 4
 LITERALS = 3  # words in a window that are no placeholders
 COVER = 0.5
+RUN = 13  # tokens copied word for word that count whatever share of the item they are
 FILTER_WINDOWS = 2_000_000
 
+VERBATIM = 1 << 20  # starts the hashes of windows without placeholders
 NUMBER, UNIT, NAME = 1, 2, 3
 _TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?:\n]+|[%€$£°]")
 # fixed values: number words and units
@@ -64,8 +71,9 @@ class Codes(dict):
         return code
 
 
-def template(text: str | None, codes: Codes) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """(template codes, index of each in the raw tokens, raw tokens, end of each in the raw tokens)."""
+def template(text: str | None, codes: Codes) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(template codes, index of each in the raw tokens, raw tokens, end of each in the raw tokens, whether each may be a name but
+    starts a sentence, codes of the lower-cased tokens)."""
     raw = _TOKEN.findall(text or "")
     got = np.fromiter((codes[t] for t in raw), dtype=np.uint64, count=len(raw))
     kind = (got & np.uint64(7)).astype(np.int8)
@@ -74,33 +82,35 @@ def template(text: str | None, codes: Codes) -> tuple[np.ndarray, np.ndarray, li
     first[1:] = stop[:-1]
     at = np.flatnonzero(~stop)
     code, kind, first = got[at] & ~np.uint64(7), kind[at], first[at]
+    plain = code.copy()
     number = kind == _NUMBER
     unit = np.zeros(len(at), dtype=bool)
     unit[1:] = (kind[1:] == _UNIT) & number[:-1]
     shout = np.concatenate([[False], kind == _SHOUT, [False]])  # text in capitals has no names
     name = (kind == _CAPITAL) & ~first & ~shout[:-2] & ~shout[2:]
+    lead = (kind == _CAPITAL) & first & ~shout[:-2] & ~shout[2:]
     code[number], code[unit], code[name] = NUMBER, UNIT, NAME
     keep = np.ones(len(at), dtype=bool)
     keep[1:] = ~(name[1:] & name[:-1])
     chosen = np.flatnonzero(keep)
     ends = np.append(chosen[1:], len(at))
     last = at[ends - 1] + 1 if len(at) else at
-    return code[keep], at[keep], raw, last
+    return code[keep], at[keep], raw, last, lead[keep], plain
 
 
-def window_hashes(code: np.ndarray, width: int) -> np.ndarray:
-    """One hash for each window; 0 where a window has too few words beside placeholders."""
+def window_hashes(code: np.ndarray, width: int, literals: int = LITERALS, start: int = 0, first: int | None = None) -> np.ndarray:
+    """One hash for each window; 0 where a window has too few words beside placeholders. ``first`` replaces the first code."""
     n = len(code) - width + 1
     if n <= 0:
         return np.array([], dtype=np.uint64)
-    h = np.full(n, width, dtype=np.uint64)
+    h = np.full(n, start + width, dtype=np.uint64)
     words = np.zeros(n, dtype=np.int16)
     for j in range(width):
-        part = code[j:j + n]
+        part = np.full(n, first, dtype=np.uint64) if j == 0 and first is not None else code[j:j + n]
         h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
         words += part > 3
-    h[words < min(LITERALS, width)] = 0
+    h[words < min(literals, width)] = 0
     return h
 
 
@@ -110,7 +120,8 @@ def slots(code: np.ndarray, at: np.ndarray, raw: list[str], last: np.ndarray, st
 
 
 def windows(rows: DataFrame, widths: list[int], only: np.ndarray | None) -> DataFrame:
-    """(key, width, pos, h, slots, tokens) of the texts in ``rows`` (key, text); ``only`` limits them to known hashes."""
+    """(key, width, pos, h, slots, tokens) of the texts in ``rows`` (key, text); ``only`` limits them to known hashes.
+    A width below zero marks windows of lower-cased tokens without placeholders."""
     known = None if only is None else rows.sparkSession.sparkContext.broadcast(only)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,14 +130,20 @@ def windows(rows: DataFrame, widths: list[int], only: np.ndarray | None) -> Data
         for pdf in batches:
             out = []
             for key, text in zip(pdf["key"], pdf["text"]):
-                code, at, raw, last = template(text, codes)
-                for width in widths if known is not None else [min(WINDOW, max(len(code), 1))] if widths == [0] else widths:
-                    h = window_hashes(code, width)
-                    hit = h != 0
-                    if known is not None and len(h):
-                        k = np.minimum(np.searchsorted(known.value, h), len(known.value) - 1)
-                        hit &= known.value[k] == h
-                    out += [(key, width, int(i), int(h[i].astype(np.int64)), slots(code, at, raw, last, i, width), len(code)) for i in np.flatnonzero(hit)]
+                code, at, raw, last, lead, plain = template(text, codes)
+                own = [min(WINDOW, max(len(code), 1)), -min(WINDOW, max(len(plain), 1))] if widths == [0] else widths
+                for width in own:
+                    todo = [(code, window_hashes(code, width))] if width > 0 else [(plain, window_hashes(plain, -width, 0, VERBATIM))]
+                    for used, h in todo:
+                        hit = h != 0
+                        if known is not None and len(h):
+                            k = np.minimum(np.searchsorted(known.value, h), len(known.value) - 1)
+                            hit &= known.value[k] == h
+                        for i in np.flatnonzero(hit).tolist():
+                            found = []
+                            if width > 0:  # of the other codes only the first is in question
+                                found = slots(used, at, raw, last, i, 1) + slots(code, at, raw, last, i + 1, width - 1)
+                            out.append((key, width, i, int(h[i].astype(np.int64)), found, len(used)))
                     if len(out) > 50_000:
                         yield pd.DataFrame(out, columns=names)
                         out = []
@@ -139,9 +156,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, key, item_id, item_tokens, covered, changed_slots): items that documents hold, one row per pair."""
     items = benchmark.groupBy("text").agg(F.min("item_id").alias("item_id")).where("item_id is not null")
     items = items.select(F.col("item_id").cast("string").alias("key"), "text")
-    # widths == [0]: a window as wide as the item where that is shorter than WINDOW
+    # widths == [0]: windows of both kinds, as wide as the item where that is shorter than WINDOW
     theirs = materialize(windows(items, [0], None).where(F.col("tokens") >= SHORTEST), "op8-items")
-    widths = sorted(r[0] for r in theirs.select("width").distinct().collect())  # at most WINDOW values
+    widths = sorted(r[0] for r in theirs.select("width").distinct().collect())  # at most 2 * WINDOW values
     n = theirs.count()
     only = None
     if n <= FILTER_WINDOWS:
@@ -162,11 +179,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     values = F.array_distinct(F.transform("pairs", lambda x: x["a"]))
     line = line.where(F.size(values) == F.size("pairs"))  # each value of the item has one value here
     changed = F.size(F.filter("pairs", lambda x: x["a"] != x["b"]))
+    # the longest run of neighbouring windows on a diagonal, in tokens
+    grown = lambda a, x: F.when(x == a["at"] + 1, a["n"] + 1).otherwise(1)
+    longest = F.aggregate(F.sort_array(F.array_distinct("starts")), F.struct(F.lit(-2).alias("at"), F.lit(0).alias("n"), F.lit(0).alias("best")), lambda a, x: F.struct(
+        x.alias("at"), grown(a, x).alias("n"), F.greatest(a["best"], grown(a, x)).alias("best")))["best"]
+    run = F.when(F.col("width") < 0, longest - 1 - F.col("width")).otherwise(0)
     both = line.groupBy("dkey", "item_id", "item_tokens", "width").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("s"), F.max(changed).alias("changed_slots"))
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("s"), F.max(changed).alias("changed_slots"), F.max(run).alias("run"))
     nexts = F.concat(F.slice("s", 2, F.greatest(F.size("s") - 1, F.lit(0))), F.array(F.lit(1 << 30)))
-    covered = F.aggregate(F.zip_with(F.col("s"), nexts, lambda a, b: b - a), F.lit(0), lambda acc, x: acc + F.least(x, F.col("width")))
-    both = both.withColumn("covered", covered).where(F.col("covered") >= F.col("item_tokens") * COVER)
+    covered = F.aggregate(F.zip_with(F.col("s"), nexts, lambda a, b: b - a), F.lit(0), lambda acc, x: acc + F.least(x, F.abs("width")))
+    both = both.withColumn("covered", covered).where((F.col("covered") >= F.col("item_tokens") * COVER) | (F.col("run") >= RUN))
+    # a template's row comes before that of a verbatim copy
+    best = F.max(F.struct((F.col("width") > 0).alias("typed"), "covered", "item_tokens", "changed_slots")).alias("best")
+    both = both.groupBy("dkey", "item_id").agg(best).select("dkey", "item_id", "best.*")
     where = F.instr("dkey", ":")
     doc_id = F.expr("try_cast(substring_index(dkey, ':', 1) AS bigint)")
     return both.select(doc_id.alias("doc_id"), F.expr("substring(dkey, instr(dkey, ':') + 1)").alias("key"), "item_id", "item_tokens", "covered", "changed_slots").where(where > 0)
