@@ -134,6 +134,10 @@ def windows(rows: DataFrame, widths: list[int], only: np.ndarray | None) -> Data
                 own = [min(WINDOW, max(len(code), 1)), -min(WINDOW, max(len(plain), 1))] if widths == [0] else widths
                 for width in own:
                     todo = [(code, window_hashes(code, width))] if width > 0 else [(plain, window_hashes(plain, -width, 0, VERBATIM))]
+                    if width > 0 and lead.any():
+                        named = window_hashes(code, width, first=NAME)
+                        named[~lead[:len(named)]] = 0
+                        todo.append((np.where(lead, np.uint64(NAME), code), named))
                     for used, h in todo:
                         hit = h != 0
                         if known is not None and len(h):
