@@ -4,10 +4,9 @@ Base rules look at one document. The method's own rule looks across documents: n
 distinct documents are counted per host (``source``) and line, lines in more documents than the limit are
 removed, and a document that keeps less than ``KEEP_SHARE`` of its words is depleted and rejected.
 
-Documents are counted by distinct text. A group of near copies would still lift all its lines above the limit, and
-clean groups would go before the deduplication sees them. So a line above the limit counts as boilerplate only if the documents
-that hold it keep ``KEEP_SHARE`` of their words on average when all such lines are taken out: true for notices in
-otherwise different documents, false for lines that near copies share.
+Documents are counted by distinct text, and texts that are near copies of each other count once, both for a line and for the host: else
+a group of near copies would lift all its lines above the limit, and go before the deduplication sees it. Near copies share
+``SAME_SHARE`` of their words in lines (Jaccard similarity). All lines above the limit are removed, also those of pages that hold little else.
 
 Lines are counted with map-side sums on (host, line), so a line in a third of all documents is no hot key.
 
@@ -29,6 +28,8 @@ WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 LINE_DOCS = 10  # a line in so many documents of a host, or fewer, stays
 LINE_SHARE = 0.01  # and so does one in this share of the host's documents
+SAME_SHARE = 0.8  # near copies share so much of their words in lines
+ORDERS = 4
 KEEP_SHARE = 0.3  # a document that keeps a smaller share of its words is depleted
 
 
@@ -75,22 +76,41 @@ def base_rules(docs: DataFrame) -> DataFrame:
     ).withColumn("base_failed", failed)
 
 
+def near_copies(hit: DataFrame) -> DataFrame:
+    """(source, doc) of texts that share at least ``SAME_SHARE`` of their words in lines with a text that stands for them. ``hit``
+    holds the shared lines (source, doc, total, h, w) of every text. A text is compared with the first of those that agree with it in the lowest hash
+    of their lines, under several orders of the hashes."""
+    lines = hit.groupBy("source", "doc", "total").agg(F.collect_list(F.struct("h", "w")).alias("lines"), F.sum("w").alias("shared"))
+    lines = materialize(lines.where(F.col("shared") >= F.col("total") * SAME_SHARE), "op4-shared")
+    orders = F.array(*[F.array_min(F.transform("lines", lambda x: F.xxhash64(x["h"], F.lit(k)))) for k in range(ORDERS)])  # noqa: B023
+    keys = lines.select(F.coalesce("source", F.lit("")).alias("host"), F.col("source").isNull().alias("none"), "doc", F.posexplode(orders).alias("k", "key"))
+    on = ["host", "none", "k", "key"]
+    leads = keys.groupBy(*on).agg(F.min("doc").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    pairs = keys.join(leads, on).where("doc > lead").select("host", "none", "doc", "lead").distinct()
+    full = lines.select(F.coalesce("source", F.lit("")).alias("host"), F.col("source").isNull().alias("none"), "source", "doc", "total", "lines")
+    first = full.select("host", "none", F.col("doc").alias("lead"), F.col("total").alias("lead_total"), F.transform("lines", lambda x: x["h"]).alias("lead_lines"))
+    both = pairs.join(full, ["host", "none", "doc"]).join(first, ["host", "none", "lead"])
+    common = F.array_intersect(F.transform("lines", lambda x: x["h"]), F.col("lead_lines"))
+    words = _bind(common, lambda c: F.aggregate(F.filter("lines", lambda x: F.array_contains(c, x["h"])), F.lit(0).cast("long"), lambda n, x: n + x["w"]))
+    both = both.withColumn("words", words).where(F.col("words") >= SAME_SHARE * (F.col("total") + F.col("lead_total") - F.col("words")))
+    return both.select("source", "doc").distinct()
+
+
 def frequent_lines(base: DataFrame) -> DataFrame:
     """(source, h): hashes of lines in more documents of the host than the limit. ``base`` has source, doc (digest of the
     text) and lines (hash h, words w)."""
     texts = base.select("source", "doc", F.array_distinct("lines").alias("lines")).groupBy("source", "doc").agg(F.first("lines").alias("lines"))
     texts = materialize(texts.withColumn("total", F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["w"])), "op4-texts")
-    hosts = texts.groupBy("source").agg(F.count(F.lit(1)).alias("host_docs"))
     held = texts.select("source", "doc", "total", F.explode("lines").alias("l")).select("source", "doc", "total", "l.h", "l.w")
-    c, s = held.groupBy("source", "h").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > LINE_DOCS).alias("c"), hosts.alias("s")
-    often = c.join(s, F.col("c.source").eqNullSafe(F.col("s.source"))).where(F.col("docs") > F.col("host_docs") * LINE_SHARE).select("c.source", "c.h")
-    often = materialize(often, "op4-often")
+    often = materialize(held.groupBy("source", "h").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > LINE_DOCS), "op4-often")
     e, o = held.alias("e"), often.alias("o")
     hit = materialize(e.join(o, F.col("e.source").eqNullSafe(F.col("o.source")) & (F.col("e.h") == F.col("o.h"))).select("e.source", "e.doc", "e.total", "e.h", "e.w"), "op4-hit")
-    left = hit.groupBy("source", "doc", "total").agg((1 - F.sum("w") / F.col("total")).alias("left")).alias("f")
-    h = hit.alias("h")
-    kept = h.join(left, F.col("h.source").eqNullSafe(F.col("f.source")) & (F.col("h.doc") == F.col("f.doc"))).select("h.source", "h.h", "f.left")
-    return kept.groupBy("source", "h").agg(F.avg("left").alias("left")).where(F.col("left") >= KEEP_SHARE).select("source", "h")
+    copies = materialize(near_copies(hit), "op4-copies")
+    m, c = hit.alias("m"), copies.alias("c")
+    again = m.join(c, F.col("m.source").eqNullSafe(F.col("c.source")) & (F.col("m.doc") == F.col("c.doc"))).select("m.source", "m.h", F.lit(-1).alias("docs"))
+    lines = often.select("source", "h", "docs").unionByName(again).groupBy("source", "h").agg(F.sum("docs").alias("docs")).where(F.col("docs") > LINE_DOCS).alias("l")
+    hosts = texts.select("source", F.lit(1).alias("n")).unionByName(copies.select("source", F.lit(-1).alias("n"))).groupBy("source").agg(F.sum("n").alias("host_docs")).alias("s")
+    return lines.join(hosts, F.col("l.source").eqNullSafe(F.col("s.source"))).where(F.col("docs") > F.col("host_docs") * LINE_SHARE).select("l.source", "l.h")
 
 
 def judge(docs: DataFrame) -> DataFrame:
