@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from remitlens.llm import quality, repeats, urlfilter
+from remitlens.llm import automata, manifest, quality, repeats, urlfilter
 
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -57,4 +57,6 @@ ORACLES: dict[str, str] = {
     "op4_line_frequency": QUALITY,
     "op5_temporal_url_lists": urlfilter.SQL,
     "op10_warc_archive": ARCHIVE,
+    "op11_level_manifest": manifest.SQL,
+    "op13_shard_automata": automata.SQL,
 }
