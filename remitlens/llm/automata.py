@@ -12,8 +12,9 @@ shard, cut to ``WINDOW`` words, and its number of occurrences. Where it reaches
 runs of marked windows are the removed spans. An automaton is sent to the tasks that stream stretches of its shard (``FAN`` of them), not
 to every executor: all automata together grow with the data, so a broadcast of them has no bound, while one shard's has.
 
-An anchor with more than ``HOT`` different stretches would break the bound of its shard. Its windows are counted by 128-bit hashes of their words
-instead, with map-side sums. Texts that occur more than once are removed as a whole if they have a window, and one of them takes part.
+An anchor with more than ``HOT`` different stretches would break the bound of its shard. Its stretches are halved: the windows of a half have more words
+in common, and these are its anchor. Equal halves are counted into one, again before they move, and halves without an equal anchor drop out, so
+after five rounds at most no anchor is too frequent. Texts that occur more than once are removed as a whole if they have a window, and one of them takes part.
 
 Defined results: a null or wordless text has no words and keeps the empty string; texts under ``WINDOW`` words stay whole; repeated rows are
 copies of one another; very long texts are read whole, in pieces that overlap by a window; ties between equal hashes go to the left; an empty table
@@ -128,6 +129,9 @@ def records(texts: list[bytes]) -> list[tuple[int, np.ndarray, bytes]]:
 def shared_parts(texts: list[list[bytes]], core: np.ndarray, off: np.ndarray, times: np.ndarray) -> dict[tuple[bytes, ...], int]:
     """The part of each stretch around its anchor whose words another stretch of the anchor has at the same places, equal parts counted into
     one; a window that occurs twice lies in such a part. Parts shorter than a window drop out."""
+    _, back, n = np.unique(core, return_inverse=True, return_counts=True)
+    some = np.flatnonzero(n[back] > 1)  # an anchor with one stretch has nothing to compare
+    texts, core, off, times = [texts[k] for k in some.tolist()], core[some], off[some], times[some]
     ids: dict[bytes, int] = {}
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     base = np.cumsum(sizes) - sizes
@@ -308,19 +312,56 @@ def _by_automata(kinds: DataFrame, shards: int) -> DataFrame:
     return sent.groupBy("shard", "fan").cogroup(asked.groupBy("shard", "fan")).applyInPandas(stream, _RUNS)
 
 
-def _by_counts(kinds: DataFrame) -> DataFrame:
-    """(kid, runs) of the stretches of very frequent anchors from counts of their windows; nothing of an anchor meets in one task."""
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for kid, text, n in zip(*[b.column(c).to_pylist() for c in ("kid", "text", "n")]):
-                words = text.split(b" ")
-                h = [xxhash.xxh3_128_digest(b" ".join(words[k:k + WINDOW])) for k in range(len(words) - WINDOW + 1)]
-                yield pa.RecordBatch.from_arrays([pa.array([kid] * len(h), pa.binary()), pa.array(range(len(h)), pa.int64()), pa.array(h, pa.binary()), pa.array([n] * len(h), pa.int64())], names=["kid", "at", "h", "n"])
+_KIND = ["core", "low", "high", "off", "m", "kid", "text"]
+_KIND_TYPES = "core long, low short, high short, off short, m short, kid binary, text binary, n long"
+_KIND_ARROW = [pa.int64(), pa.int16(), pa.int16(), pa.int16(), pa.int16(), pa.binary(), pa.binary(), pa.int64()]
+
 
-    rows = kinds.select("kid", "text", "n").mapInArrow(explode, "kid binary, at long, h binary, n long")
-    twice = rows.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    one = F.struct(F.col("at").alias("first"), F.col("at").alias("last"))
-    return rows.join(twice, "h", "left_semi").groupBy("kid").agg(F.collect_list(one).alias("runs"))  # at most WIDTH windows of a stretch
+def _kid(text: bytes, off: int) -> bytes:
+    return xxhash.xxh3_128_digest(text + b" %d" % off)
+
+
+def _halves(kinds: DataFrame) -> DataFrame:
+    """(whole, shift) and the columns of a stretch: each stretch as two, by how many words (``low`` .. ``high``) before the anchor a window starts.
+    The windows of a half have more words in common than those of the whole; these words are its anchor from now on."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for kid, low, high, off, m, text, n in zip(*[b.column(c).to_pylist() for c in ("kid", "low", "high", "off", "m", "text", "n")]):
+                words, mid = text.split(b" "), (low + high) // 2
+                for a, z in ((low, mid), (mid + 1, high)):
+                    first, last = max(0, off - z), min(m - 1, off - a)
+                    if first <= last:
+                        own, common = b" ".join(words[first:last + WINDOW]), b" ".join(words[off - a:off - z + WINDOW])
+                        core = xxhash.xxh64_intdigest(common, 1 + a) - (1 << 63)
+                        out.append((kid, first, core, a, z, off - first, last - first + 1, _kid(own, off - first), own, n))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate([pa.binary(), pa.int64(), *_KIND_ARROW])], names=["whole", "shift", *_KIND, "n"])
+
+    return kinds.select(*_KIND, "n").mapInArrow(cut, f"whole binary, shift long, {_KIND_TYPES}")
+
+
+def _runs_of(rows: DataFrame) -> DataFrame:
+    """(kid, runs) of the stretches in ``rows`` (core, low, high, off, m, kid, text, n). Stretches of anchors too frequent for a shard are halved until
+    they are rare or equal; a window is the last, so this takes five rounds at most."""
+    kinds = materialize(rows.groupBy(*_KIND).agg(F.sum("n").alias("n")), "op13-kinds")
+    per = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.min("kid").alias("kid"), F.max("m").alias("m"), F.max(F.col("low") < F.col("high")).alias("wide"))
+    per = materialize(per.where("k > 1 or n > 1").withColumn("hot", (F.col("k") > HOT) & F.col("wide")), "op13-anchors")
+    # a stretch whose anchor has no other stretch repeats as a whole or not at all
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), (F.col("m") - 1).cast("long").alias("last")))
+    runs = per.where("k = 1").select("kid", whole.alias("runs"))
+    size = per.agg(F.sum(F.when((F.col("k") > 1) & ~F.col("hot"), F.col("k"))).alias("n"), F.count_if("hot").alias("hot")).first()
+    cold = kinds
+    if size["hot"]:
+        hot = materialize(per.where("hot").select("core"), "op13-hot")
+        cold = kinds.join(hot, "core", "left_anti")
+        halves = _halves(kinds.join(hot, "core", "left_semi"))
+        below = materialize(_runs_of(halves.drop("whole", "shift")), "op13-halves")
+        part = halves.select("whole", "shift", "kid").join(below, "kid").select("whole", F.transform("runs", lambda r: F.struct(
+            (r["first"] + F.col("shift")).alias("first"), (r["last"] + F.col("shift")).alias("last"))).alias("runs"))
+        runs = runs.unionByName(part.groupBy(F.col("whole").alias("kid")).agg(F.flatten(F.collect_list("runs")).alias("runs")))  # two halves
+    if size["n"]:
+        runs = runs.unionByName(_by_automata(cold, 1 + size["n"] // SHARD))
+    return runs
 
 
 def _stretches(text: str, asked: list[dict]) -> Iterator[tuple[bytes, dict, bytes]]:
@@ -328,7 +369,7 @@ def _stretches(text: str, asked: list[dict]) -> Iterator[tuple[bytes, dict, byte
     words = text.encode().split()
     for x in asked:
         own = b" ".join(words[x["first"]:x["first"] + x["n"] + WINDOW - 1])
-        yield xxhash.xxh3_128_digest(own + b" %d" % x["off"]), x, own
+        yield _kid(own, x["off"]), x, own
 
 
 def repeated_spans(recs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -366,10 +407,10 @@ def repeated_spans(recs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFra
             for text, asked, copies in zip(*[b.column(c).to_pylist() for c in ("text", "asked", "copies")]):
                 kinds: dict[tuple, int] = {}
                 for kid, x, own in _stretches(text, asked):
-                    kind = x["core"], x["off"], kid, own
+                    kind = x["core"], 0, WIDTH - 1, x["off"], x["n"], kid, own
                     kinds[kind] = kinds.get(kind, 0) + copies
-                cols = [pa.array([k[i] for k in kinds], t) for i, t in enumerate((pa.int64(), pa.int16(), pa.binary(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(list(kinds.values()), pa.int64())], names=["core", "off", "kid", "text", "n"])
+                rows = [(*k, n) for k, n in kinds.items()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_KIND_ARROW)], names=[*_KIND, "n"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -377,19 +418,7 @@ def repeated_spans(recs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFra
                 got = [(kid, x["first"]) for kid, x, _ in _stretches(text, asked)]
                 yield pa.RecordBatch.from_arrays([pa.array([tkey] * len(got), pa.binary()), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.int64())], names=["tkey", "kid", "first"])
 
-    schema = "core long, off short, kid binary, text binary, n long"
-    kinds = materialize(found.select("text", "asked", "copies").mapInArrow(cut, schema).groupBy("core", "off", "kid", "text").agg(F.sum("n").alias("n")), "op13-kinds")
-    per = materialize(kinds.groupBy("core").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1), "op13-met")
-    # a stretch whose anchor has no other stretch repeats as a whole or not at all
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), (F.size(F.split(F.col("text").cast("string"), " ")) - WINDOW).cast("long").alias("last")))
-    alone = kinds.join(per, "core", "left_anti").where("n > 1").select("kid", whole.alias("runs"))
-    met = materialize(kinds.join(per, "core"), "op13-reference")
-    sizes = {r["hot"]: r["n"] for r in met.groupBy((F.col("k") > HOT).alias("hot")).agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows at most
-    runs = alone
-    if sizes.get(False):
-        runs = runs.unionByName(_by_automata(met.where(F.col("k") <= HOT).drop("k"), 1 + sizes[False] // SHARD))
-    if sizes.get(True):
-        runs = runs.unionByName(_by_counts(met.where(F.col("k") > HOT).drop("k")))
+    runs = _runs_of(found.select("text", "asked", "copies").mapInArrow(cut, _KIND_TYPES))
     marks = found.select("tkey", "text", "asked").mapInArrow(place, "tkey binary, kid binary, first long")
     hit = marks.join(materialize(runs, "op13-runs"), "kid").select("tkey", "first", F.explode("runs").alias("r"))
     span = F.struct((F.col("first") + F.col("r.first")).alias("start"), (F.col("first") + F.col("r.last") + WINDOW).alias("end"))
