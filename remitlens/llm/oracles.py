@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from remitlens.llm import automata, manifest, quality, repeats, urlfilter
+from remitlens.llm import automata, manifest, periodic, quality, repeats, urlfilter
 
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -58,5 +58,6 @@ ORACLES: dict[str, str] = {
     "op5_temporal_url_lists": urlfilter.SQL,
     "op10_warc_archive": ARCHIVE,
     "op11_level_manifest": manifest.SQL,
+    "op12_pattern_runs": periodic.SQL,
     "op13_shard_automata": automata.SQL,
 }

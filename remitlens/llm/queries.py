@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlens.llm import automata, decontamination, htmltext, lengths, manifest, mixing, quality, repeats, sharding, simhash, urlfilter, warc
+from remitlens.llm import automata, decontamination, htmltext, lengths, manifest, mixing, periodic, quality, repeats, sharding, simhash, urlfilter, warc
 from remitlens.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_dom_marginals": htmltext.op9,
     "op10_warc_archive": warc.op10,
     "op11_level_manifest": manifest.op11,
+    "op12_pattern_runs": periodic.op12,
     "op13_shard_automata": automata.op13,
 }
