@@ -40,6 +40,7 @@ LITERALS = 3  # words in a window that are no placeholders
 COVER = 0.5
 RUN = 13  # tokens copied word for word that count whatever share of the item they are
 FILTER_WINDOWS = 2_000_000
+GROUP_CHARS = 400_000  # characters of texts that are hashed together
 
 VERBATIM = 1 << 20  # starts the hashes of windows without placeholders
 NUMBER, UNIT, NAME = 1, 2, 3
@@ -71,87 +72,151 @@ class Codes(dict):
         return code
 
 
-def template(text: str | None, codes: Codes) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """(template codes, index of each in the raw tokens, raw tokens, end of each in the raw tokens, whether each may be a name but
-    starts a sentence, codes of the lower-cased tokens)."""
-    raw = _TOKEN.findall(text or "")
-    got = np.fromiter((codes[t] for t in raw), dtype=np.uint64, count=len(raw))
-    kind = (got & np.uint64(7)).astype(np.int8)
-    stop = kind == _STOP
-    first = np.ones(len(raw), dtype=bool)
-    first[1:] = stop[:-1]
-    at = np.flatnonzero(~stop)
-    code, kind, first = got[at] & ~np.uint64(7), kind[at], first[at]
-    plain = code.copy()
-    number = kind == _NUMBER
-    unit = np.zeros(len(at), dtype=bool)
-    unit[1:] = (kind[1:] == _UNIT) & number[:-1]
-    shout = np.concatenate([[False], kind == _SHOUT, [False]])  # text in capitals has no names
-    name = (kind == _CAPITAL) & ~first & ~shout[:-2] & ~shout[2:]
-    lead = (kind == _CAPITAL) & first & ~shout[:-2] & ~shout[2:]
-    code[number], code[unit], code[name] = NUMBER, UNIT, NAME
-    keep = np.ones(len(at), dtype=bool)
-    keep[1:] = ~(name[1:] & name[:-1])
-    chosen = np.flatnonzero(keep)
-    ends = np.append(chosen[1:], len(at))
-    last = at[ends - 1] + 1 if len(at) else at
-    return code[keep], at[keep], raw, last, lead[keep], plain
-
-
-def window_hashes(code: np.ndarray, width: int, literals: int = LITERALS, start: int = 0, first: int | None = None) -> np.ndarray:
-    """One hash for each window; 0 where a window has too few words beside placeholders. ``first`` replaces the first code."""
-    n = len(code) - width + 1
-    if n <= 0:
-        return np.array([], dtype=np.uint64)
-    h = np.full(n, start + width, dtype=np.uint64)
-    words = np.zeros(n, dtype=np.int16)
-    for j in range(width):
-        part = np.full(n, first, dtype=np.uint64) if j == 0 and first is not None else code[j:j + n]
-        h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        words += part > 3
-    h[words < min(literals, width)] = 0
-    return h
-
-
-def slots(code: np.ndarray, at: np.ndarray, raw: list[str], last: np.ndarray, start: int, width: int) -> list[str]:
-    """Placeholders of a window with their values, in order."""
-    return [f"{'?#u@'[int(code[k])]}{' '.join(raw[at[k]:last[k]]).lower()}" for k in range(start, start + width) if code[k] <= 3]
+class Templates:
+    """Templates of several texts behind one another, as arrays over all of them."""
+
+    def __init__(self, texts: list[str | None], codes: Codes) -> None:
+        tokens = [_TOKEN.findall(t or "") for t in texts]
+        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
+        raw = [t for ts in tokens for t in ts]
+        text = np.repeat(np.arange(len(texts)), sizes)
+        got = np.fromiter(map(codes.__getitem__, raw), dtype=np.uint64, count=len(raw))
+        kind = (got & np.uint64(7)).astype(np.int8)
+        stop = kind == _STOP
+        first = np.ones(len(raw), dtype=bool)
+        first[1:] = stop[:-1] | (text[1:] != text[:-1])
+        at = np.flatnonzero(~stop)
+        code, kind, first, text = got[at] & ~np.uint64(7), kind[at], first[at], text[at]
+        inside = text[1:] == text[:-1]  # a token and the one before it are of one text
+        self.plain = Rolled(code.copy(), text)
+        number = kind == _NUMBER
+        unit = np.zeros(len(at), dtype=bool)
+        unit[1:] = (kind[1:] == _UNIT) & number[:-1] & inside
+        loud = kind == _SHOUT  # text in capitals has no names
+        beside = np.zeros(len(at), dtype=bool)
+        beside[1:] |= loud[:-1] & inside
+        beside[:-1] |= loud[1:] & inside
+        name = (kind == _CAPITAL) & ~first & ~beside
+        lead = (kind == _CAPITAL) & first & ~beside
+        code[number], code[unit], code[name] = NUMBER, UNIT, NAME
+        keep = np.ones(len(at), dtype=bool)
+        keep[1:] = ~(name[1:] & name[:-1] & inside)
+        chosen = np.flatnonzero(keep)
+        last = np.append(chosen[1:], len(at)) - 1
+        self.raw, self.at = raw, at[chosen]
+        self.last = at[last] + 1 if len(at) else at  # end of each in the raw tokens
+        self.lead = lead[chosen]  # may be a name, but starts a sentence
+        self.typed = Rolled(code[chosen], text[chosen])
+        self.sizes = np.bincount(self.typed.text, minlength=len(texts)), np.bincount(self.plain.text, minlength=len(texts))
+        self.begin = np.cumsum(self.sizes[0]) - self.sizes[0], np.cumsum(self.sizes[1]) - self.sizes[1]
+
+    def slots(self, start: int, width: int, named: bool) -> list[str]:
+        """Placeholders of a window with their values, in order; ``named`` takes its first token for a name."""
+        kinds = self.typed.code[start:start + width].tolist()
+        if named:
+            kinds[0] = NAME
+        return [f"{'?#u@'[c]}{' '.join(self.raw[self.at[k]:self.last[k]]).lower()}" for k, c in enumerate(kinds, start) if c <= 3]
+
+
+_BASE = 0x9E3779B97F4A7C15
+_STEPS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2^64."""
+    if len(_STEPS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            row = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+            row[0] = 1
+            _STEPS[k] = np.cumprod(row, dtype=np.uint64)
+    return _STEPS[0][:n], _STEPS[1][:n]
+
+
+def _stirred(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+class Rolled:
+    """Codes of tokens with running sums, from which the hash of any window follows in a few steps."""
+
+    def __init__(self, code: np.ndarray, text: np.ndarray) -> None:
+        self.code, self.text = code, text
+        self.up, down = _powers(len(code))
+        self.mixed = _stirred(code * np.uint64(_BASE) + np.uint64(1))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.mixed * down, dtype=np.uint64)])
+        self.literals = np.concatenate([[0], np.cumsum(code > 3)])
+
+    def hashes(self, width: int, literals: int, start: int = 0, named: bool = False) -> np.ndarray:
+        """One hash for each window, independent of where it lies; 0 where it leaves its text or has too few words beside placeholders.
+        ``named`` takes the first token for a name."""
+        n = max(len(self.code) - width + 1, 0)
+        h = (self.sums[width:] - self.sums[:n]) * self.up[:n] if n else np.zeros(0, np.uint64)
+        words = self.literals[width:] - self.literals[:n] if n else np.zeros(0, np.int64)
+        if named:
+            h += _stirred(np.array([NAME], np.uint64) * np.uint64(_BASE) + np.uint64(1)) - self.mixed[:n]
+            words = words - (self.code[:n] > 3)
+        h = _stirred(h + np.uint64((start + width) * 0xD6E8FEB86659FD93 % (1 << 64)))
+        h[(words < min(literals, width)) | (self.text[:n] != self.text[width - 1:][:n])] = 0
+        return h
 
 
 def windows(rows: DataFrame, widths: list[int], only: np.ndarray | None) -> DataFrame:
     """(key, width, pos, h, slots, tokens) of the texts in ``rows`` (key, text); ``only`` limits them to known hashes.
     A width below zero marks windows of lower-cased tokens without placeholders."""
-    known = None if only is None else rows.sparkSession.sparkContext.broadcast(only)
+    known = None
+    if only is not None:
+        seen = np.zeros(1 << 20, dtype=bool)  # by the top bits: most windows are told by one look
+        seen[only >> np.uint64(44)] = True
+        known = rows.sparkSession.sparkContext.broadcast((only, seen))
+
+    def held(h: np.ndarray) -> np.ndarray:
+        """Places of the hashes that are asked for."""
+        hit = np.flatnonzero(h)
+        if known is not None:
+            hashes, seen = known.value
+            hit = np.flatnonzero(seen[h >> np.uint64(44)] & (h != 0))
+            if len(hit):
+                hit = hit[hashes[np.minimum(np.searchsorted(hashes, h[hit]), len(hashes) - 1)] == h[hit]]
+        return hit
+
+    names = ["key", "width", "pos", "h", "slots", "tokens"]
+
+    def found(keys: list, t: Templates, width: int, asked: np.ndarray | None = None) -> list[tuple]:
+        out, kind = [], 0 if width > 0 else 1
+        rolled = t.plain if kind else t.typed
+        todo = [(rolled.hashes(-width, 0, VERBATIM), False)] if kind else [(rolled.hashes(width, LITERALS), False)]
+        if not kind and t.lead.any():
+            h = rolled.hashes(width, LITERALS, named=True)
+            h[~t.lead[:len(h)]] = 0
+            todo.append((h, True))
+        for h, named in todo:
+            for i in held(h).tolist():
+                text = int(rolled.text[i])
+                if asked is None or asked[text]:
+                    out.append((keys[text], width, i - int(t.begin[kind][text]), int(h[i].astype(np.int64)), [] if kind else t.slots(i, width, named), int(t.sizes[kind][text])))
+        return out
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = Codes()
-        names = ["key", "width", "pos", "h", "slots", "tokens"]
         for pdf in batches:
-            out = []
-            for key, text in zip(pdf["key"], pdf["text"]):
-                code, at, raw, last, lead, plain = template(text, codes)
-                own = [min(WINDOW, max(len(code), 1)), -min(WINDOW, max(len(plain), 1))] if widths == [0] else widths
-                for width in own:
-                    todo = [(code, window_hashes(code, width))] if width > 0 else [(plain, window_hashes(plain, -width, 0, VERBATIM))]
-                    if width > 0 and lead.any():
-                        named = window_hashes(code, width, first=NAME)
-                        named[~lead[:len(named)]] = 0
-                        todo.append((np.where(lead, np.uint64(NAME), code), named))
-                    for used, h in todo:
-                        hit = h != 0
-                        if known is not None and len(h):
-                            k = np.minimum(np.searchsorted(known.value, h), len(known.value) - 1)
-                            hit &= known.value[k] == h
-                        for i in np.flatnonzero(hit).tolist():
-                            found = []
-                            if width > 0:  # of the other codes only the first is in question
-                                found = slots(used, at, raw, last, i, 1) + slots(code, at, raw, last, i + 1, width - 1)
-                            out.append((key, width, i, int(h[i].astype(np.int64)), found, len(used)))
-                    if len(out) > 50_000:
-                        yield pd.DataFrame(out, columns=names)
-                        out = []
-            yield pd.DataFrame(out, columns=names).astype({"width": "int32", "pos": "int32", "h": "int64", "tokens": "int32"})
+            keys, texts, at = pdf["key"].tolist(), pdf["text"].tolist(), 0
+            while at < len(texts):
+                end, size = at, 0
+                while end < len(texts) and (end == at or size + len(texts[end] or "") < GROUP_CHARS):
+                    size += len(texts[end] or "")
+                    end += 1
+                t, part, out = Templates(texts[at:end], codes), keys[at:end], []
+                if widths == [0]:
+                    for kind, sign in enumerate((1, -1)):
+                        own = np.clip(t.sizes[kind], 1, WINDOW)
+                        for width in np.unique(own).tolist():
+                            out += found(part, t, sign * width, own == width)
+                else:
+                    for width in widths:
+                        out += found(part, t, width)
+                yield pd.DataFrame(out, columns=names).astype({"width": "int32", "pos": "int32", "h": "int64", "tokens": "int32"})
+                at = end
 
     return rows.mapInPandas(each, "key string, width int, pos int, h long, slots array<string>, tokens int")
 

@@ -17,7 +17,8 @@ edges AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER B
 cut AS (SELECT e.doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front
     FROM edges e JOIN t ON e.doc_id = t.doc_id GROUP BY e.doc_id)
 SELECT t.doc_id, t.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-    sha256(unhex(CASE WHEN n_removed IS NULL THEN hx ELSE front || substr(hx, 2 * last + 1) END)) AS kept_sha256
+    sha256(unhex(CASE WHEN n_removed IS NULL THEN hx ELSE front || substr(hx, 2 * last + 1) END)) AS kept_sha256,
+    t.n - coalesce(n_removed, 0) AS n_kept, coalesce(n_removed, 0) > 0 AS changed
 FROM t LEFT JOIN cut ON t.doc_id = cut.doc_id
 """
 

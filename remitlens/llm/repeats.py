@@ -331,7 +331,7 @@ def hot_spans(pieces: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if ``keep_text``, kept (the remaining bytes); one row per document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, changed and, if ``keep_text``, kept (the remaining bytes); one row per document."""
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.unhex(F.md5(body)).alias("tkey"), body.alias("text"))
     found = materialize(repeated_spans(rows), "op2-found")
@@ -358,7 +358,8 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     joined = light.join(changes, "tkey", "left")
     removed = F.when(F.col("n_removed") < 0, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long")
     out = joined.select("doc_id", "n_bytes", removed.alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-                        F.coalesce("kept_sha256", "_whole").alias("kept_sha256"), *([F.when(F.col("kept_sha256").isNull(), F.col("_text")).otherwise(F.col("kept")).alias("kept")] if keep_text else []))
+                        F.coalesce("kept_sha256", "_whole").alias("kept_sha256"),
+                        (F.col("n_bytes") - removed).alias("n_kept"), (removed > 0).alias("changed"), *([F.when(F.col("kept_sha256").isNull(), F.col("_text")).otherwise(F.col("kept")).alias("kept")] if keep_text else []))
     return out
 
 
