@@ -26,7 +26,7 @@ def test_planted_passages_go_and_clean_documents_stay(spark):
         clean.append(len(rows))
         rows.append((len(rows), words(rng, 200)))
     got = {r.doc_id: r for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    caught = sum(got[d].changed and n <= got[d].n_removed <= n + 2 for d, n in planted.items())
+    caught = sum(got[d].changed and n <= got[d].n_removed <= n + 12 for d, n in planted.items())
     assert (caught / len(planted), sum(not got[d].changed for d in clean) / len(clean)) == (1.0, 1.0)
     assert not any(got[d].changed for d in short)
     assert all(r.n_kept == r.n_bytes - r.n_removed == len(r.kept) for r in got.values())
