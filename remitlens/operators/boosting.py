@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from remitlens.session import materialize
 
-BINS = 64
-KEEP = 10
+BINS = 32
+TASK_ROWS = 6_000  # rows of a task at least, so that small tables are not ruled by task overhead
+KEEP = 2
 SMALLEST_HESSIAN = 1e-3
 HELD_BACK = 0.1
 
@@ -42,7 +43,7 @@ class Boost:
     rounds: int = 100
     step: float = 0.1
     leaves: int = 31
-    depth: int = 8
+    depth: int = 6
     l2: float = 0.0
     min_rows: int = 20
     weight: str = ""
@@ -74,13 +75,14 @@ class Tree:
     def nodes(self, bins: np.ndarray) -> np.ndarray:
         """The leaf of each row of bins."""
         feature, cut, left = np.array(self.feature), np.array(self.cut), np.array(self.left)
-        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-        while True:
-            f = feature[at]
-            inner = f >= 0
-            if not inner.any():
-                return at
-            at = np.where(inner, left[at] + (bins[rows, f] > cut[at]), at)
+        at = np.zeros(len(bins), np.int64)
+        rows = np.arange(len(bins)) if feature[0] >= 0 else at[:0]
+        while len(rows):
+            here = at[rows]
+            here = left[here] + (bins[rows, feature[here]] > cut[here])
+            at[rows] = here
+            rows = rows[feature[here] >= 0]
+        return at
 
     def split(self, node: int, feature: int, cut: int, gain: float) -> int:
         left = len(self.feature)
@@ -90,10 +92,10 @@ class Tree:
         return left
 
 
-def bin_features(table: DataFrame, bins: int = BINS) -> list[np.ndarray]:
+def bin_features(table: DataFrame) -> list[np.ndarray]:
     """Cuts of each feature at its quantiles; a value lies in the first bin whose cut is not below it."""
     each = table.select(F.posexplode(vector_to_array("features")).alias("j", "x"))
-    rows = each.groupBy("j").agg(F.percentile_approx("x", [k / bins for k in range(1, bins)], 100_000).alias("q")).collect()  # one row per feature
+    rows = each.groupBy("j").agg(F.percentile_approx("x", [k / BINS for k in range(1, BINS)], 100_000).alias("q")).collect()  # one row per feature
     return [np.unique(np.array(r["q"], dtype=np.float64)) for r in sorted(rows, key=lambda r: r["j"])]
 
 
@@ -141,6 +143,21 @@ class Boosted:
         return cls([np.array(c) for c in got["cuts"]], got["base"], [Tree(**t) for t in got["trees"]])
 
 
+class Cells:
+    """Places of the bins of all features in one row of sums."""
+
+    def __init__(self, cuts: Sequence[np.ndarray]) -> None:
+        self.sizes = np.array([len(c) + 1 for c in cuts], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.total = int(self.sizes.sum())
+        self.pad = np.minimum(np.arange(int(self.sizes.max(initial=1)))[None, :], self.sizes[:, None] - 1) + self.starts[:, None]
+        self.real = np.arange(int(self.sizes.max(initial=1)))[None, :] < self.sizes[:, None]
+
+    def table(self, sums: np.ndarray) -> np.ndarray:
+        """3 x feature x bin, features with fewer bins filled with zeros."""
+        return np.where(self.real[None], sums.reshape(3, self.total)[:, self.pad], 0.0)
+
+
 def best_split(hist: np.ndarray, spec: Boost) -> tuple[float, int, int]:
     """(gain, feature, cut) of sums (gradient, hessian, rows) x feature x bin; gain 0 where nothing may be split. Ties go to the first."""
     total = hist[:, 0].sum(axis=1)
@@ -246,15 +263,15 @@ def _columns(b: pa.RecordBatch, width: int, fits: int) -> tuple[np.ndarray, np.n
     return bins, np.frombuffer(b"".join(b.column("scores").to_pylist()), np.float64).reshape(b.num_rows, fits)
 
 
-def _pass(state: DataFrame, growing: list[Growing], since: list[list[Tree]], width: int, first: bool) -> dict[tuple[int, int], np.ndarray]:
-    """Sums (3 x feature x bin) of every wanted (fit, node); on the first pass of a round also the losses of held-back rows, as node -1."""
+def _pass(state: DataFrame, growing: list[Growing], since: list[list[Tree]], cells: Cells, first: bool, tasks: int) -> dict[tuple[int, int], np.ndarray]:
+    """Sums (3 x bins of all features) of every wanted (fit, node); on the first pass of a round also the losses of held-back rows, as node -1."""
     wanted = {k: [c for _, c in g.wanted()] for k, g in enumerate(growing) if not g.done}
     wanted = {k: v for k, v in wanted.items() if v}
     if not wanted:
         return {}
     partial = {k: growing[k].tree for k in wanted}
     specs = {k: (growing[k].fit.fold, growing[k].fit.spec) for k in wanted}
-    fits, offset = len(growing), np.arange(width) * BINS
+    fits, width, offset, total = len(growing), len(cells.sizes), cells.starts, cells.total
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
@@ -279,24 +296,26 @@ def _pass(state: DataFrame, growing: list[Growing], since: list[list[Tree]], wid
                 at = slot[partial[k].nodes(bins)]
                 rows = np.flatnonzero(use & (at >= 0))
                 p = 1.0 / (1.0 + np.exp(-score[rows, k]))
-                index = (at[rows, None] * (width * BINS) + cell[rows]).ravel()
-                size = len(nodes) * width * BINS
+                index = (at[rows, None] * total + cell[rows]).ravel()
+                size = len(nodes) * total
                 parts = [w[rows] * (p - label[rows]), w[rows] * p * (1.0 - p)]
                 got = np.stack([*[np.bincount(index, np.repeat(x, width), size) for x in parts], np.bincount(index, minlength=size)])
-                got = got.reshape(3, len(nodes), width, BINS)
+                got = got.reshape(3, len(nodes), total)
                 for i, node in enumerate(nodes):
                     sums[k, node] = sums.get((k, node), 0.0) + got[:, i]
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sums], pa.int32()), pa.array([n for _, n in sums], pa.int32()), pa.array([np.ascontiguousarray(v).tobytes() for v in sums.values()], pa.binary())],
                                              names=["fit", "node", "sums"])
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.float64) for x in pdf["sums"]], axis=0)
-        return pd.DataFrame({"fit": pdf["fit"].iloc[:1], "node": pdf["node"].iloc[:1], "sums": [total.tobytes()]})
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for k, node, x in zip(*[b.column(c).to_pylist() for c in ("fit", "node", "sums")]):
+                sums[k, node] = sums.get((k, node), 0.0) + np.frombuffer(x, np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sums], pa.int32()), pa.array([n for _, n in sums], pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["fit", "node", "sums"])
 
     schema = "fit int, node int, sums binary"
-    parts = state.mapInArrow(count, schema)
-    rows = parts.groupBy("fit", "node").applyInPandas(add, schema).collect()  # bounded by fits and leaves, whatever the rows
+    rows = state.mapInArrow(count, schema).repartition(tasks, "fit", "node").mapInArrow(add, schema).collect()  # bounded by fits and leaves, whatever the rows
     return {(r["fit"], r["node"]): np.frombuffer(r["sums"], np.float64) for r in rows}
 
 
@@ -304,7 +323,7 @@ def fit_many(table: DataFrame, fits: Sequence[Fit], label: str = "label") -> tup
     """All ``fits`` on ``table`` (label, features, weight columns and, for fits with a fold, ``fold``); returns the models and the scores of left-out
     rows (Model, fold, label, score)."""
     cuts = bin_features(table)
-    width = len(cuts)
+    cells, width = Cells(cuts), len(cuts)
     weights = sorted({f.spec.weight for f in fits if f.spec.weight})
     fold = F.col("fold").cast("int") if "fold" in table.columns else F.lit(0)
     late = F.pmod(F.xxhash64("features", label), F.lit(1000)) < int(HELD_BACK * 1000)
@@ -330,7 +349,8 @@ def fit_many(table: DataFrame, fits: Sequence[Fit], label: str = "label") -> tup
 
     fields = "fold int, label int, late boolean, " + "".join(f"{w} double, " for w in weights)
     schema = fields + "bins binary, scores binary"
-    state = materialize(rows.mapInArrow(binned, schema), "boost-rows")
+    tasks = max(1, sum(r["all_"] for r in per) // TASK_ROWS)
+    state = materialize(rows.mapInArrow(binned, schema).coalesce(tasks), "boost-rows").persist()
     since: list[list[Tree]] = [[] for _ in growing]
 
     def stored(state: DataFrame) -> DataFrame:
@@ -339,12 +359,14 @@ def fit_many(table: DataFrame, fits: Sequence[Fit], label: str = "label") -> tup
                 score = _scores(*_columns(b, width, len(fits)), since)
                 yield b.set_column(b.schema.get_field_index("scores"), "scores", pa.array([r.tobytes() for r in score], pa.binary()))
 
-        return materialize(state.mapInArrow(add, schema), "boost-rows")
+        new = materialize(state.mapInArrow(add, schema), "boost-rows").persist()  # kept in memory while it fits, read again where it is lost
+        state.unpersist()
+        return new
 
     done = 0
     while not all(g.done for g in growing):
         first = True
-        while got := _pass(state, growing, since, width, first):
+        while got := _pass(state, growing, since, cells, first, min(tasks, len(fits))):
             first = False
             for k, g in enumerate(growing):
                 if g.done:
@@ -358,7 +380,7 @@ def fit_many(table: DataFrame, fits: Sequence[Fit], label: str = "label") -> tup
                         continue
                 for parent, child in g.wanted():
                     if (k, child) in got:
-                        g.counted(parent, child, got[k, child].reshape(3, width, BINS))
+                        g.counted(parent, child, cells.table(got[k, child]))
         for k, g in enumerate(growing):
             if not g.done:
                 if 0 not in g.split:  # no row to learn from

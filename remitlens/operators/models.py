@@ -1,7 +1,7 @@
 """Classifiers: candidates, cross-validation, tuning, final fit, scoring and importances.
 
-All fitting is MLlib on the full data: trees aggregate histograms per level, so nothing needs a
-row cap. Scores of every model and fold go into one table and are evaluated in one pass.
+Boosted candidates of all folds and grid points grow side by side (``boosting``); the others are MLlib. All of them see
+the full data. Scores of every model and fold go into one table and are evaluated in one pass.
 """
 
 from __future__ import annotations
@@ -9,10 +9,10 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StandardScaler
@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from remitlens import constants as C
 from remitlens.functions import scalars as S
-from remitlens.operators import claims_api, encoding, evaluation, splits
+from remitlens.operators import boosting, claims_api, encoding, evaluation, splits
+from remitlens.operators.boosting import Boost, Boosted, Fit
 from remitlens.operators.ordering import global_rank, stratified_sample
 from remitlens.session import materialize
 
@@ -76,7 +77,7 @@ class RowScaledLogistic(LogisticRegression):
         return super(RowScaledLogistic, own)._fit(dataset)
 
 
-def candidates(seed: int = 42) -> dict[str, Estimator]:
+def candidates(seed: int = 42) -> dict[str, Estimator | Boost]:
     """The five compared models."""
     scaled = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     logistic = RowScaledLogistic(
@@ -86,32 +87,26 @@ def candidates(seed: int = 42) -> dict[str, Estimator]:
         "Logistic_Regression": Pipeline(stages=[scaled, logistic]),
         "Random_Forest": RandomForestClassifier(
             labelCol=LABEL, weightCol=BALANCED, numTrees=150, maxDepth=12, seed=seed),
-        "Hist_Gradient_Boosting": GBTClassifier(
-            labelCol=LABEL, weightCol=BALANCED, maxIter=150, stepSize=0.08, maxDepth=5, maxBins=128, seed=seed),
-        "Gradient_Boosting": GBTClassifier(
-            labelCol=LABEL, maxIter=100, stepSize=0.1, maxDepth=5, seed=seed),
-        "Weighted_Gradient_Boosting": GBTClassifier(
-            labelCol=LABEL, weightCol=POSITIVE, maxIter=150, stepSize=0.1, maxDepth=8, seed=seed),
+        "Hist_Gradient_Boosting": Boost(rounds=150, step=0.08, leaves=31, depth=8, weight=BALANCED, patience=10),
+        "Gradient_Boosting": Boost(rounds=100, step=0.1, leaves=32, depth=5, min_rows=1),
+        "Weighted_Gradient_Boosting": Boost(rounds=150, step=0.1, leaves=31, depth=8, weight=POSITIVE),
     }
 
 
-def grids(name: str, est: Estimator) -> list[dict]:
-    """Search grid of each candidate."""
+def grids(name: str, est: Estimator | Boost) -> list:
+    """Search grid of each candidate: parameter maps, or the boosted variants themselves."""
+    if name == "Hist_Gradient_Boosting":
+        return boosting.grid(est, rounds=[100, 200], step=[0.05, 0.1], leaves=[31, 63], l2=[0.0, 0.1])
+    if name == "Weighted_Gradient_Boosting":
+        return boosting.grid(est, rounds=[100, 200], depth=[6, 10], step=[0.05, 0.1])
+    if name == "Gradient_Boosting":
+        return [replace(s, leaves=2 ** s.depth) for s in boosting.grid(est, rounds=[100, 150], depth=[4, 6])]
     grid = ParamGridBuilder()
     if name == "Logistic_Regression":
-        logistic = est.getStages()[-1]
-        grid = grid.addGrid(logistic.regParam, [1.0 / c for c in (0.01, 0.1, 1.0, 10.0)])
-    elif name == "Random_Forest":
+        grid = grid.addGrid(est.getStages()[-1].regParam, [1.0 / c for c in (0.01, 0.1, 1.0, 10.0)])
+    else:
         # 30 is MLlib's deepest tree, standing in for "no limit"
         grid = grid.addGrid(est.numTrees, [100, 200]).addGrid(est.maxDepth, [10, 15, 30])
-    elif name == "Gradient_Boosting":
-        grid = grid.addGrid(est.maxIter, [100, 150]).addGrid(est.maxDepth, [4, 6])
-    else:
-        depths = [6, 10] if name == "Weighted_Gradient_Boosting" else [5, 6]  # 31 / 63 leaves as depth
-        grid = (
-            grid.addGrid(est.maxIter, [100, 200])
-            .addGrid(est.maxDepth, depths).addGrid(est.stepSize, [0.05, 0.1])
-        )
     return grid.build()
 
 
@@ -120,13 +115,18 @@ def probability(df: DataFrame) -> DataFrame:
     return df.withColumn("probability_1", vector_to_array("probability")[1])
 
 
-def cross_validate(table: DataFrame, models: dict[str, Estimator], k: int = 5, parallelism: int = 5, fit_rows: int | None = None) -> DataFrame:
-    """Held-out scores (Model, fold, label, score) of every model and fold, stored.
+def cross_validate(table: DataFrame, models: dict[str, Estimator | Boost], k: int = 5, parallelism: int = 5, fit_rows: int | None = None) -> DataFrame:
+    """Held-out scores (Model, fold, label, score) of every model and fold, stored. Boosted models of all folds are fitted in one scan.
 
-    ``fit_rows`` bounds the labelled rows that a fit sees, in few partitions, so that small trials are
+    ``fit_rows`` bounds the labelled rows that a fit of the other models sees, in few partitions, so that small trials are
     not ruled by task overhead; every row is held out and scored once in any case.
     """
     folded = materialize(splits.stratified_folds(table, LABEL, k, KEYS), "folds")
+    boosted = [Fit(name, fold, est) for name, est in models.items() if isinstance(est, Boost) for fold in range(k)]
+    models = {name: est for name, est in models.items() if not isinstance(est, Boost)}
+    scored = boosting.fit_many(folded, boosted, LABEL)[1] if boosted else None
+    if not models:
+        return materialize(scored, "cv")
 
     seen = {fold: folded.where(F.col("fold") != fold) for fold in range(k)}
     if fit_rows:
@@ -141,9 +141,8 @@ def cross_validate(table: DataFrame, models: dict[str, Estimator], k: int = 5, p
 
     with ThreadPoolExecutor(parallelism) as pool:  # fits wait for the cluster, not for this process
         parts = list(pool.map(held_out, [(name, fold) for name in models for fold in range(k)]))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
+    for p in parts:
+        scored = p if scored is None else scored.unionByName(p)
     return materialize(scored, "cv")
 
 
@@ -182,13 +181,40 @@ class AveragePrecisionEvaluator(Evaluator):
         return True
 
 
-def tune(table: DataFrame, est: Estimator, grid: list[dict], k: int = 3, parallelism: int = 4):
-    """Grid search by average precision; returns the fitted CrossValidatorModel."""
-    folded = splits.stratified_folds(table, LABEL, k, KEYS, seed=11)
-    return CrossValidator(
+@dataclass
+class Tuned:
+    """A finished search: the best variant, and the mean average precision of each point of the grid."""
+
+    best: Estimator | Boost
+    points: list[str]
+    scores: list[float]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(p, float(s), s == max(self.scores)) for p, s in zip(self.points, self.scores)]
+        return spark.createDataFrame(rows, "Parameters string, Mean_PR_AUC double, best boolean").orderBy(F.col("Mean_PR_AUC").desc(), "Parameters")
+
+
+def tune(table: DataFrame, est: Estimator | Boost, grid: list, k: int = 3, parallelism: int = 4) -> Tuned:
+    """Grid search by average precision over k folds; the first of the best points wins."""
+    folded = materialize(splits.stratified_folds(table, LABEL, k, KEYS, seed=11), "folds")
+    if isinstance(est, Boost):
+        fits = [Fit(str(i), fold, spec) for i, spec in enumerate(grid) for fold in range(k)]
+        scored = materialize(boosting.fit_many(folded, fits, LABEL)[1], "tuning")
+        groups = ["Model", "fold"]
+        found = evaluation.average_precision(evaluation.pr_curve(scored, LABEL, "score", groups), groups).groupBy("Model").agg(F.avg("average_precision").alias("ap")).collect()
+        scores = {int(r["Model"]): r["ap"] for r in found}
+        points, scores = [json.dumps(asdict(s)) for s in grid], [scores[i] for i in range(len(grid))]
+        return Tuned(grid[scores.index(max(scores))], points, scores)
+    model = CrossValidator(
         estimator=est, estimatorParamMaps=grid, evaluator=AveragePrecisionEvaluator(), numFolds=k,
         foldCol="fold", parallelism=parallelism,
     ).fit(folded)
+    scores = [float(x) for x in model.avgMetrics]
+    points = [json.dumps({p.name: v for p, v in g.items()}) for g in grid]
+    best = grid[scores.index(max(scores))]
+    if isinstance(est, Pipeline):  # the parameters belong to a stage
+        return Tuned(Pipeline(stages=[s.copy({p: v for p, v in best.items() if p.parent == s.uid}) for s in est.getStages()]), points, scores)
+    return Tuned(est.copy(best), points, scores)
 
 
 @dataclass
@@ -196,10 +222,14 @@ class Trained:
     """A fitted model with the features it expects."""
 
     name: str
-    model: Model
+    model: Model | Boosted
     spec: FeatureSpec
     threshold: float = C.BUSINESS_THRESHOLD
 
+    @property
+    def has_importances(self) -> bool:
+        return hasattr(_last(self.model), "featureImportances")
+
 
 def fixed_logistic(spark: SparkSession, spec: FeatureSpec, weights: Sequence[float], intercept: float, name: str = "Fixed_Logistic") -> Trained:
     """A logistic model with given coefficients: published weights, or scoring without a fit."""
@@ -208,7 +238,7 @@ def fixed_logistic(spark: SparkSession, spec: FeatureSpec, weights: Sequence[flo
     return Trained(name, LogisticRegressionModel(java), spec)
 
 
-def fit_final(df: DataFrame, name: str, est: Estimator, spec: FeatureSpec | None = None, test: float = 0.2) -> tuple[Trained, DataFrame]:
+def fit_final(df: DataFrame, name: str, est: Estimator | Boost, spec: FeatureSpec | None = None, test: float = 0.2) -> tuple[Trained, DataFrame]:
     """Fit on the training split; returns the model and the scored hold-out rows."""
     spec = spec or fit_features(df)
     train, held = splits.stratified_split(df, C.TARGET, test, KEYS)
@@ -220,6 +250,27 @@ def fit_final(df: DataFrame, name: str, est: Estimator, spec: FeatureSpec | None
     return trained, materialize(scored, "holdout")
 
 
+@dataclass
+class Chosen:
+    """The outcome of a whole training: comparison, search, final model and its scored hold-out rows."""
+
+    trained: Trained
+    held: DataFrame
+    comparison: DataFrame
+    tuning: DataFrame
+
+
+def choose(df: DataFrame, models: dict[str, Estimator | Boost], grid_of=grids, fit_rows: int | None = None) -> Chosen:
+    """Compare the candidates, search around the best one and fit it with the parameters found; the operating threshold is the reference point."""
+    spec = fit_features(df)
+    table = training_table(df, spec)
+    comparison = materialize(compare_models(table, models, fit_rows=fit_rows), "comparison")
+    winner = comparison.orderBy(F.col("Mean_PR_AUC").desc(), "Model").first()["Model"]
+    found = tune(table, models[winner], grid_of(winner, models[winner]))
+    trained, held = fit_final(df, winner, found.best, spec)
+    return Chosen(trained, held, comparison, found.table(df.sparkSession))
+
+
 def score_rows(df: DataFrame, trained: Trained) -> DataFrame:
     """Input columns plus ``probability_1``; plain task-parallel transform, no chunks."""
     out = probability(trained.model.transform(trained.spec.vectors(df)))
@@ -246,16 +297,21 @@ def score_claims(records: DataFrame, trained: Trained, threshold: float | None =
 
 
 def save_model(trained: Trained, path: str) -> None:
-    model = trained.model if isinstance(trained.model, PipelineModel) else PipelineModel(stages=[trained.model])
-    model.write().overwrite().save(f"{path}/model")
-    text = json.dumps({"name": trained.name, "threshold": trained.threshold, "spec": asdict(trained.spec)})
+    boosted = isinstance(trained.model, Boosted)
+    if boosted:
+        boosting.save(trained.model, f"{path}/model")
+    else:
+        model = trained.model if isinstance(trained.model, PipelineModel) else PipelineModel(stages=[trained.model])
+        model.write().overwrite().save(f"{path}/model")
+    text = json.dumps({"name": trained.name, "threshold": trained.threshold, "boosted": boosted, "spec": asdict(trained.spec)})
     spark = SparkSession.active()
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/features")
 
 
 def load_model(spark: SparkSession, path: str) -> Trained:
     saved = json.loads(spark.read.text(f"{path}/features", wholetext=True).first()["value"])
-    return Trained(saved["name"], PipelineModel.load(f"{path}/model"), FeatureSpec(**saved["spec"]), saved["threshold"])
+    model = boosting.load(spark, f"{path}/model") if saved.get("boosted") else PipelineModel.load(f"{path}/model")
+    return Trained(saved["name"], model, FeatureSpec(**saved["spec"]), saved["threshold"])
 
 
 def retune(spark: SparkSession, path: str, df: DataFrame, test: float = 0.2) -> DataFrame:

@@ -816,10 +816,15 @@ for _name in CANDIDATES:
 @query
 def model_compare(st: Stages) -> DataFrame:
     """The candidates side by side, best first; shares the held-out scores of the single comparisons."""
-    scored = st.cross_validated(CANDIDATES[0])
-    for name in CANDIDATES[1:]:
-        scored = scored.unionByName(st.cross_validated(name))
-    return models.cv_table(scored)
+    return models.cv_table(st.cross_validated(*CANDIDATES))
+
+
+@query
+def tune_logistic_regression(st: Stages) -> DataFrame:
+    """The search grid of one candidate, best point first, on all rows."""
+    est = models.candidates()["Logistic_Regression"]
+    found = models.tune(st.training, est, models.grids("Logistic_Regression", est))
+    return found.table(st.training.sparkSession)
 
 
 @query
@@ -894,6 +899,20 @@ def fixed_model_score(st: Stages) -> DataFrame:
     return ranked.select(*KEY, S.round_even(F.col("confidence_score"), 4).alias("confidence_score"), "predicted_high_priority")
 
 
+FIXED_LEVELS = {"O": 0.3, "not seen": -0.7}  # of the place of service; a level that a batch lacks counts 0
+
+
+@query
+def save_load_score(st: Stages) -> DataFrame:
+    """A model with given coefficients and levels, saved, loaded and used for scoring."""
+    spark = st.modeling.sparkSession
+    spec = models.FeatureSpec(list(FIXED_WEIGHTS), {PLACE: list(FIXED_LEVELS)})
+    path = f"{shared_dir(spark)}/remitlens/model-{uuid.uuid4().hex}"
+    models.save_model(models.fixed_logistic(spark, spec, [*FIXED_WEIGHTS.values(), *FIXED_LEVELS.values()], -0.5), path)
+    scored = models.score(st.modeling, models.load_model(spark, path))
+    return scored.select(*KEY, S.round_even(F.col("collection_probability"), 4).alias("collection_probability"))
+
+
 @query
 def complete_claims(st: Stages) -> DataFrame:
     """Derived defaults of partial scorer records."""

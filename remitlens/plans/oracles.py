@@ -642,6 +642,7 @@ _SQL["fixed_claim_score"] = f"""SELECT Rndrng_NPI, HCPCS_Cd, Place_Of_Srvc AS pl
 _SQL["fixed_claim_summary"] = f"SELECT count(*) AS total_claims, count(*) FILTER (t IN ('Critical', 'High')) AS high_priority_count, count(*) FILTER (t = 'Critical') AS critical_count FROM ({_TIERED})"
 _SQL["fixed_model_score"] = f"""SELECT {KEY}, {rnd1('1::DOUBLE / (1::DOUBLE + exp(-(-0.5::DOUBLE + 0.9::DOUBLE * Tot_Srvcs_log - 0.02::DOUBLE * services_per_beneficiary - 0.45::DOUBLE * avg_charge_per_beneficiary_log)))', 4)} AS confidence_score,
     1::DOUBLE / (1::DOUBLE + exp(-(-0.5::DOUBLE + 0.9::DOUBLE * Tot_Srvcs_log - 0.02::DOUBLE * services_per_beneficiary - 0.45::DOUBLE * avg_charge_per_beneficiary_log))) >= 0.4 AS predicted_high_priority FROM modeling WHERE Is_Underpaid"""
+_SQL["save_load_score"] = f"""SELECT {KEY}, {rnd1("1::DOUBLE / (1::DOUBLE + exp(-(-0.5::DOUBLE + 0.9::DOUBLE * Tot_Srvcs_log - 0.02::DOUBLE * services_per_beneficiary - 0.45::DOUBLE * avg_charge_per_beneficiary_log + CASE WHEN Place_Of_Srvc = 'O' THEN 0.3::DOUBLE ELSE 0::DOUBLE END)))", 4)} AS collection_probability FROM modeling"""
 _SQL["files_rvu"] = f"SELECT {_replace(['WORK_RVU', 'NON_FAC_PE_RVU', 'FACILITY_PE_RVU', 'MP_RVU', 'CONVERSION_FACTOR_FROM_FILE'])} FROM rvu"
 _SQL["files_gpci"] = f"SELECT {_replace(['WORK_GPCI', 'PE_GPCI', 'MP_GPCI'])} FROM gpci"
 _SQL["files_payments"] = _SQL["payments"]
@@ -655,7 +656,7 @@ _SQL["fixed_anomalies"] = _FLAGGED
 _SQL["fixed_anomaly_concentration"] = f"SELECT Rndrng_Prvdr_Type, count(*) AS anomaly_patterns FROM ({_FLAGGED}) WHERE anomaly_flag GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
 _SQL["fixed_anomaly_summary"] = f"""SELECT unnest(['input_rows', 'total_groups_formed', 'groups_scored_min_rows', 'groups_scored', 'anomaly_patterns', 'anomaly_rate_pct', 'contamination_setting', 'grouping_columns']) AS metric,
     unnest([(SELECT count(*) FROM modeling)::VARCHAR, (SELECT count(*) FROM (SELECT DISTINCT {_PK} FROM modeling))::VARCHAR, '2', n::VARCHAR, hits::VARCHAR,
-        {rnd1('hits::DOUBLE / n * 100', 4)}::VARCHAR, '{C.CONTAMINATION}', '{_PK}']) AS value FROM (SELECT count(*) AS n, count(*) FILTER (anomaly_flag) AS hits FROM ({_FLAGGED}))"""
+        {rnd1('hits::DOUBLE / nullif(n, 0) * 100', 4)}::VARCHAR, '{C.CONTAMINATION}', '{_PK}']) AS value FROM (SELECT count(*) AS n, count(*) FILTER (anomaly_flag) AS hits FROM ({_FLAGGED}))"""
 _CV = f"""SELECT m, fold, score, label FROM (SELECT 'A' AS m, Rndrng_NPI % 5 AS fold, score, label FROM scored
     UNION ALL SELECT 'B', Rndrng_NPI % 5, {rnd1('score * score', 3)}, label FROM scored)"""
 _SQL["fixed_cv_table"] = f"""SELECT m AS "Model", {rnd('avg(ap)', 4)} AS "Mean_PR_AUC", {rnd('stddev_pop(ap)', 4)} AS "Std_PR_AUC", {rnd('avg(auc)', 4)} AS "Mean_ROC_AUC", {rnd('avg(f1)', 4)} AS "Mean_F1"

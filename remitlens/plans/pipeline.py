@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from remitlens import constants as C
@@ -19,9 +21,12 @@ def run(
     out: str,
     model: str | None = None,
     pattern_keys: tuple[str, ...] = tuple(C.PATTERN_KEYS),
+    candidates: dict | None = None,
+    grid_of: Callable = models.grids,
 ) -> dict[str, DataFrame]:
-    """Every step in order; returns the stage tables. ``model`` names a classifier candidate or is
-    None for rule-based confidence."""
+    """Every step in order; returns the stage tables. ``model`` names a classifier candidate, or is ``best`` for the whole
+    choice (compare, search, fit with the parameters found), or None for rule-based confidence. ``candidates`` and ``grid_of`` replace
+    the usual candidates and search grids."""
     def report(df: DataFrame, name: str) -> None:
         write_report(df, f"{out}/reports/{name}")
 
@@ -66,9 +71,17 @@ def run(
     report(target.leakage_audit(modeling), "leakage_audit")
     trained = None
     if model is not None:
-        spec = models.fit_features(modeling)
-        trained, held = models.fit_final(modeling, model, models.candidates()[model], spec)
+        candidates = candidates or models.candidates()
+        if model == "best":
+            chosen = models.choose(modeling, candidates, grid_of)
+            trained, held = chosen.trained, chosen.held
+            report(chosen.comparison, "model_comparison")
+            report(chosen.tuning, "hyperparameter_tuning")
+        else:
+            trained, held = models.fit_final(modeling, model, candidates[model])
         models.save_model(trained, f"{out}/model")
+        importance = models.importances if trained.has_importances else models.coefficients
+        report(importance(trained), "feature_importance")
         report(evaluation.threshold_table(held, evaluation.pr_curve(held), business=False), "threshold_tuning_results")
         report(regression.compare_regressors(modeling, regression.regressors()), "regression_validation")
     scored = models.score(modeling, trained)

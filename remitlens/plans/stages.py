@@ -18,7 +18,7 @@ from remitlens.session import materialize
 from remitlens.sources import testtables
 
 
-FIT_ROWS = 4000  # labelled rows in each fit of the registered comparison queries
+FIT_ROWS = 4000  # labelled rows in each fit of the models that are not boosted, in the registered comparison queries
 
 
 class Stages:
@@ -89,11 +89,17 @@ class Stages:
     def training(self) -> DataFrame:
         return models.training_table(self.modeling, models.fit_features(self.modeling))
 
-    def cross_validated(self, name: str) -> DataFrame:
-        """Held-out scores of one candidate in five folds, each fitted on at most FIT_ROWS labelled rows."""
-        if name not in self._cv:
-            self._cv[name] = models.cross_validate(self.training, {name: models.candidates()[name]}, fit_rows=FIT_ROWS)
-        return self._cv[name]
+    def cross_validated(self, *names: str) -> DataFrame:
+        """Held-out scores of candidates in five folds. Boosted ones are fitted together on all rows, the others on at most
+        FIT_ROWS labelled rows each."""
+        missing = {n: e for n, e in models.candidates().items() if n in names and n not in self._cv}
+        if missing:
+            scored = models.cross_validate(self.training, missing, fit_rows=FIT_ROWS)
+            self._cv.update({n: scored.where(F.col("Model") == n) for n in missing})
+        found = self._cv[names[0]]
+        for n in names[1:]:
+            found = found.unionByName(self._cv[n])
+        return found
 
     @property
     def scored(self) -> DataFrame:

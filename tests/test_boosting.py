@@ -54,9 +54,11 @@ def plain_tree(x, g, h, spec):
     return out, value
 
 
-@pytest.mark.parametrize("spec", [Boost(rounds=3, leaves=6, depth=8, l2=1.5, min_rows=8), Boost(rounds=2, leaves=64, depth=3, min_rows=5, weight="w", step=0.3)])
+@pytest.mark.parametrize("spec", [Boost(rounds=3, leaves=6, depth=6, l2=1.5, min_rows=8), Boost(rounds=2, leaves=64, depth=3, min_rows=5, weight="w", step=0.3)])
 def test_splits_gains_and_scores_equal_brute_force(spark, monkeypatch, spec):
     monkeypatch.setattr(boosting, "KEEP", 2)
+    monkeypatch.setattr(boosting, "BINS", 200)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 50)
     x, y = data()
     model = boosting.fit_many(frame(spark, x, y), [Fit("m", None, spec)])[0][0]
     w = np.where(y == 1, 2.0, 1.0) if spec.weight else np.ones(len(y))

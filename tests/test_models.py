@@ -1,15 +1,16 @@
 """Small, seeded model runs: quality floor, persistence, scoring without a model, importances."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from remitlens.operators import claims_api, evaluation, models, regression
+from remitlens.operators import boosting, claims_api, evaluation, models, regression
 
 
 @pytest.fixture(scope="module")
 def trained(stages):
-    est = models.candidates()["Gradient_Boosting"]
-    est.setMaxIter(3)
+    est = replace(models.candidates()["Gradient_Boosting"], rounds=3)
     return models.fit_final(stages.modeling, "Gradient_Boosting", est)
 
 
@@ -48,7 +49,19 @@ def test_tuning_picks_from_the_grid(stages):
     est = models.candidates()["Logistic_Regression"]
     grid = models.grids("Logistic_Regression", est)
     best = models.tune(table, est, grid)
-    assert len(grid) == len(best.avgMetrics) == 4
+    assert len(grid) == len(best.scores) == 4
+    fitted = best.best.fit(table).stages[-1]
+    assert 1.0 / fitted.getRegParam() > 0 and best.table(table.sparkSession).where("best").count() >= 1
+
+
+def test_boosted_search_equals_separate_validation(stages):
+    table = models.training_table(stages.modeling, models.fit_features(stages.modeling))
+    est = replace(models.candidates()["Hist_Gradient_Boosting"], rounds=3)
+    grid = boosting.grid(est, rounds=[1, 3], l2=[0.0, 5.0])
+    found = models.tune(table, est, grid)
+    assert len(found.scores) == 4 and found.best in grid and max(found.scores) > 0.5
+    alone = models.tune(table, est, [grid[2]])
+    assert alone.scores[0] == pytest.approx(found.scores[2])
 
 
 def test_importances_sum_to_one(trained):

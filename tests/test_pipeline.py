@@ -3,6 +3,10 @@
 import io
 from contextlib import redirect_stdout
 
+import pytest
+
+from remitlens.operators import boosting, models
+from remitlens.operators.boosting import Boost
 from remitlens.plans import pipeline
 from remitlens.plans.catalog import PATTERN_GROUP
 
@@ -14,13 +18,25 @@ def plan(df) -> str:
     return text.getvalue()
 
 
-def test_run_writes_every_stage_and_report(spark, stages, tmp_path):
-    out = pipeline.run(stages.rvu, stages.gpci, stages.payments, str(tmp_path / "out"), "Gradient_Boosting", 0.01, tuple(PATTERN_GROUP))
+SMALL = {"Hist_Gradient_Boosting": Boost(rounds=3, leaves=6, patience=2), "Gradient_Boosting": Boost(rounds=2, leaves=4, depth=2)}
+
+
+@pytest.mark.parametrize("model", ["Gradient_Boosting", "best"])
+def test_run_writes_every_stage_and_report(spark, stages, tmp_path, model):
+    grid_of = lambda name, est: boosting.grid(est, rounds=[2, 4])
+    out = pipeline.run(stages.rvu, stages.gpci, stages.payments, str(tmp_path / "out"), model, tuple(PATTERN_GROUP), SMALL, grid_of)
     assert out["cleaned"].count() + out["excluded"].count() == out["claims"].count() == stages.claims.count()
     assert out["queue"].count() == stages.queue.count()
     assert out["queue"].where("collection_probability is null").count() == 0
     reports = {p.name for p in (tmp_path / "out" / "reports").iterdir()}
-    assert {"executive_summary", "cleaning_summary", "queue_summary", "threshold_tuning_results", "regression_validation"} <= reports
+    assert {"executive_summary", "cleaning_summary", "queue_summary", "threshold_tuning_results", "regression_validation", "feature_importance"} <= reports
+    assert {"summary_gap_by_provider_type", "summary_underpaid_by_state", "summary_hcpcs_stats", "summary_correlation_matrix"} <= reports
+    if model == "best":
+        assert {"model_comparison", "hyperparameter_tuning"} <= reports
+        tuned = spark.read.option("header", True).csv(str(tmp_path / "out" / "reports" / "hyperparameter_tuning")).collect()
+        assert len(tuned) == 2 and sum(r["best"] == "true" for r in tuned) >= 1
+        saved = models.load_model(spark, str(tmp_path / "out" / "model"))
+        assert saved.name in SMALL and 2 <= len(saved.model.trees) <= 4
 
 
 def test_no_cartesian_product_in_pricing(stages):
