@@ -34,6 +34,7 @@ from remitlens.session import shared_dir
 
 DATE = "2024-01-01T00:00:00Z"  # the tables have no fetch time
 CRLF = b"\r\n"
+PIECE = 256  # rows whose payloads a task unpacks at once
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -67,6 +68,13 @@ def parse_header(header: bytes) -> dict[str, str]:
     return dict(line.split(": ", 1) for line in header.decode("utf-8", "surrogatepass").split("\r\n")[1:] if ": " in line)
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of ``PIECE`` rows: the Python objects of one run are alive at a time."""
+    for b in batches:
+        for k in range(0, b.num_rows, PIECE):
+            yield b.slice(k, PIECE)
+
+
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.cast("binary").alias("payload"), F.sha2(html.cast("binary"), 256).alias("sha256"),
@@ -80,7 +88,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in pieces(batches):
             packed = [z.compress(x) for x in b.column("payload").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("sha256"), b.column("_order"), pa.array(packed, pa.binary())], names=["sha256", "_order", "packed"])
 
@@ -91,7 +99,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     once.select("sha256", "packed").write.parquet(f"{path}/payloads")
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             got = b.to_pydict()
             out = {"page_id": [], "sha256": got["sha256"], "warc_header": [], "http_header": []}
             for page, url, sha1, size, kind, row, refers in zip(got["page_id"], got["url"], got["sha1"], got["bytes"], got["kind"], got["row"], got["refers_to"]):
@@ -124,7 +132,7 @@ def read_archive(spark: SparkSession, path: str, records: bool = True) -> DataFr
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in pieces(batches):
             out = []
             for sha256, warc, http, packed in zip(*[b.column(c).to_pylist() for c in ("sha256", "warc_header", "http_header", "packed")]):
                 h, payload = parse_header(warc), z.decompress(packed)

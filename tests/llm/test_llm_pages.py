@@ -128,3 +128,14 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
         assert empty.count() == 0
+
+
+def test_archive_payloads_are_unpacked_in_small_pieces():
+    import pyarrow as pa
+
+    from remitlens.llm import warc
+
+    batch = pa.RecordBatch.from_pydict({"x": list(range(2 * warc.PIECE + 3))})
+    got = list(warc.pieces(iter([batch, batch.slice(0, 0)])))
+    assert [b.num_rows for b in got] == [warc.PIECE, warc.PIECE, 3]
+    assert [v for b in got for v in b.column("x").to_pylist()] == batch.column("x").to_pylist()
