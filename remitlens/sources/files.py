@@ -104,7 +104,7 @@ def read_gpci(spark: SparkSession, path: str) -> DataFrame:
 
 
 def newest_payments_file(spark: SparkSession, root: str, glob: str = PAYMENTS_GLOB) -> str:
-    """The last matching file name under a folder tree."""
+    """The last matching file name under a folder tree. A file that Spark wrote is a folder of parts, and counts as one file."""
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
         .select("path")
@@ -112,7 +112,8 @@ def newest_payments_file(spark: SparkSession, root: str, glob: str = PAYMENTS_GL
     found = listing.agg(F.max("path").alias("p")).first()["p"]
     if found is None:
         raise FileNotFoundError(f"no {glob} under {root}")
-    return found
+    folder, name = found.rsplit("/", 1)
+    return folder if name.startswith("part-") else found
 
 
 def read_payments(spark: SparkSession, root: str, glob: str = PAYMENTS_GLOB) -> DataFrame:
