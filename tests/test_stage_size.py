@@ -70,3 +70,29 @@ def test_order_columns_are_not_stored(spark):
     want = [r["id"] for r in df.orderBy("h").collect()]
     assert [r["id"] for r in got.orderBy("r").collect()] == want
     assert splits.stratified_folds(df.withColumn("label", F.lit(1)), "label", 5, ["id"]).groupBy("fold").count().where("count = 10").count() == 5
+
+
+def test_newest_payments_may_be_a_folder_of_parts(spark, tmp_path):
+    from remitlens.sources import files
+
+    rows = [(n, "OHIO", "Cardiology", "99213", "O", 5.0, 9.0, 200.0, 20.0 + n, 40.0, "Y", "I") for n in range(40)]
+    df = spark.createDataFrame(rows, PAYMENTS)
+    df.limit(3).repartition(1).write.option("header", True).csv(f"{tmp_path}/2022")
+    df.repartition(4).write.option("header", True).csv(f"{tmp_path}/2023")
+    got = files.read_payments(spark, str(tmp_path), "part-*.csv")
+    assert sorted(r["Rndrng_NPI"] for r in got.collect()) == list(range(40))
+
+
+def test_folds_are_stored_once(spark, monkeypatch):
+    from remitlens.operators import models
+
+    stored = []
+    for module in (ordering, splits, models):
+        real = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, name, real=real: stored.append((name, "features" in df.columns)) or real(df, name))
+    table = spark.range(60).select("id", (F.col("id") % 2).cast("double").alias("label"), F.array(F.lit(1.0)).alias("features"))
+    monkeypatch.setattr(models, "KEYS", ["id"])
+    monkeypatch.setattr(models.boosting, "fit_many", lambda folded, fits, label: (None, folded.select(F.lit("m").alias("Model"), "fold", "label", F.lit(0.5).alias("score"))))
+    got = models.cross_validate(table, {"m": models.Boost()})
+    assert got.groupBy("fold").count().where("count = 12").count() == 5
+    assert [name for name, wide in stored if wide] == ["rank"]
