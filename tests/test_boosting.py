@@ -132,3 +132,24 @@ def test_scores_stay_in_memory_between_writes_and_tasks_do_not_grow_with_rows(sp
     assert held.where("fold = 3").count() == 80 and held.count() == 160
     assert len(stored) == 1 + 5 // (keep * write)  # rows and scores were written every second round
     assert max(stored) <= spark.sparkContext.defaultParallelism  # there was a task for every 10 rows
+
+
+def test_features_counted_together_equal_features_counted_alone(spark):
+    rng, sizes = np.random.default_rng(8), [32, 2, 2, 1, 31, 2, 17, 200]
+    cells = boosting.Cells([np.arange(s - 1) for s in sizes])
+    assert sorted(j for g in cells.joint for j in g) == list(range(len(sizes))) and len(cells.joint) < len(sizes)
+    bins = np.stack([rng.integers(0, s, 500) for s in sizes]).astype(np.uint8).T
+    at, x = rng.integers(0, 3, 500), rng.normal(size=500)
+    got = cells.each(boosting._sums(cells.indexes(bins), at, [x, x * x, None], 3, cells))
+    for j, (start, size) in enumerate(zip(cells.starts, cells.sizes)):
+        for part, w in enumerate((x, x * x, np.ones(500))):
+            want = [np.bincount(bins[at == n, j], w[at == n], size) for n in range(3)]
+            assert np.allclose(got[:, part, start:start + size], want)
+
+
+def test_several_tasks_grow_more_than_one_tree(spark, monkeypatch):
+    x, y = data(400, 6)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 40)
+    monkeypatch.setattr(boosting, "PIECE_ROWS", 16)
+    model = Boost(rounds=3, leaves=6, min_rows=5).fit(frame(spark, x, y, 6))
+    assert len(model.trees) == 3
