@@ -105,3 +105,28 @@ def test_regressors_against_the_formula(stages):
     table = regression.compare_regressors(stages.modeling, regressors)
     assert table.count() == 3
     assert regression.best_regressor(table).first()["best_r2"] > 0
+
+
+def test_registered_comparison_fits_on_all_rows_of_the_other_folds(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    from remitlens.plans.stages import Stages
+
+    seen = []
+
+    class Counting(LogisticRegression):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+
+    table = spark.range(6000).select(
+        F.col("id").alias("Rndrng_NPI"), F.lit("A").alias("HCPCS_Cd"), F.lit("O").alias("Place_Of_Srvc"), F.lit("OHIO").alias("Rndrng_Prvdr_State_Abrvtn"),
+        (F.col("id") % 3 == 0).cast("double").alias("label"), F.lit(1.0).alias("w_balanced"), F.lit(1.0).alias("w_positive"),
+        array_to_vector(F.array((F.col("id") % 7).cast("double"), (F.col("id") % 3).cast("double"))).alias("features"))
+    monkeypatch.setattr(models, "candidates", lambda: {"Logistic_Regression": Counting(labelCol="label", maxIter=2)})
+    st = Stages(None, None, None)
+    st.__dict__["training"] = table
+    held = st.cross_validated("Logistic_Regression")
+    assert seen == [4800] * 5  # 4,000 of them were taken before
+    assert held.count() == 6000 and held.select("fold").distinct().count() == 5
