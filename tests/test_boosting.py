@@ -153,3 +153,20 @@ def test_several_tasks_grow_more_than_one_tree(spark, monkeypatch):
     monkeypatch.setattr(boosting, "PIECE_ROWS", 16)
     model = Boost(rounds=3, leaves=6, min_rows=5).fit(frame(spark, x, y, 6))
     assert len(model.trees) == 3
+
+
+@pytest.mark.parametrize("sorted_at_once, whole, off", [(65_536, 16_384, 0), (300, 100, 4)])
+def test_cuts_are_quantiles_from_few_points_of_each_task(spark, monkeypatch, sorted_at_once, whole, off):
+    for name, value in (("SORTED", sorted_at_once), ("WHOLE", whole), ("POINTS", 64)):
+        monkeypatch.setattr(boosting, name, value)
+    x, y = np.random.default_rng(9).normal(size=(3000, 3)), np.zeros(3000)
+    x[:, 1] = np.round(x[:, 1])
+    x[:, 2] = 7.0
+    values, rows = boosting.points(np.sort(x[:, 0]))
+    assert len(values) == (3000 if whole > 3000 else 64) and rows.sum() == 3000
+    got = boosting.bin_features(frame(spark, x, y))
+    want = np.sort(x[:, 0])[[-(-k * 3000 // 32) - 1 for k in range(1, 32)]]
+    ranks = np.searchsorted(np.sort(x[:, 0]), [got[0], want])
+    assert len(got[0]) == 31 and np.abs(ranks[0] - ranks[1]).max() <= off * 10  # ten parts of 300 rows, half a stretch in each
+    assert set(got[1]) <= set(x[:, 1]) and got[2].tolist() == [7.0]
+    assert boosting.bin_features(frame(spark, x, y).where("label > 5")) == []
