@@ -96,3 +96,32 @@ def test_folds_are_stored_once(spark, monkeypatch):
     got = models.cross_validate(table, {"m": models.Boost()})
     assert got.groupBy("fold").count().where("count = 12").count() == 5
     assert [name for name, wide in stored if wide] == ["rank"]
+
+
+def _placed(rows, test):
+    """Keys held by the ranks that the split stands for."""
+    import hashlib
+
+    out = []
+    for c in (0, 1):
+        mine = sorted((hashlib.md5(f"{k}|42".encode()).hexdigest(), k) for k, y in rows if y == c)
+        out += [k for _, k in mine[:int(len(mine) * test + 0.5)]]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("test", [0.0, 0.2, 0.5, 1.0])
+def test_split_moves_and_writes_no_rows(spark, monkeypatch, test):
+    rows = [(k, int(k % 7 == 0)) for k in range(5000)]
+    df = spark.createDataFrame([(k, y, "wide" * 20) for k, y in rows] + [(-1, None, "no label")], "k long, y int, wide string")
+    monkeypatch.setattr(splits, "_place_in_class", lambda *a: pytest.fail("rows were ranked"))
+    train, held = splits.stratified_split(df, "y", test, ["k"])
+    assert sorted(r["k"] for r in held.collect()) == _placed(rows, test)
+    assert train.count() == 5000 - held.count() and train.columns == df.columns
+    assert "Exchange" not in plan(train) and "Exchange" not in plan(held)
+
+
+def test_split_counts_hold_where_keys_repeat(spark):
+    df = spark.createDataFrame([(1, 0)] * 10 + [(2, 1)] * 5 + [(None, 1)] * 5, "k long, y int")
+    train, held = splits.stratified_split(df, "y", 0.25, ["k"])
+    assert {r["y"]: r["count"] for r in held.groupBy("y").count().collect()} == {0: 3, 1: 3}
+    assert train.count() == 14 and splits.stratified_split(df.where("k > 5"), "y", 0.2, ["k"])[0].count() == 0
