@@ -170,3 +170,25 @@ def test_cuts_are_quantiles_from_few_points_of_each_task(spark, monkeypatch, sor
     assert len(got[0]) == 31 and np.abs(ranks[0] - ranks[1]).max() <= off * 10  # ten parts of 300 rows, half a stretch in each
     assert set(got[1]) <= set(x[:, 1]) and got[2].tolist() == [7.0]
     assert boosting.bin_features(frame(spark, x, y).where("label > 5")) == []
+
+
+def test_rows_are_found_node_by_node_without_the_other_branches(spark):
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, 9, (400, 3)).astype(np.uint8)
+    tree = boosting.Tree()
+    for node, feature, cut in ((0, 1, 4), (1, 0, 2), (2, 2, 6), (6, 1, 7)):
+        left = tree.split(node, feature, cut, 1.0)
+        tree.value[left], tree.value[left + 1] = float(left), left + 1.0
+    at, some = tree.nodes(bins), np.flatnonzero(rng.random(400) < 0.7)
+    found = tree.rows_at(bins.T, some)
+    assert sorted(found) == [n for n, f in enumerate(tree.feature) if f < 0]
+    assert all(np.array_equal(rows, some[at[some] == n]) for n, rows in found.items())
+
+    class Columns(dict):  # only the tests on the way are read
+        def __missing__(self, j):
+            self[j] = bins.T[j]
+            return self[j]
+
+    read = Columns()
+    assert list(tree.rows_at(read, some, [3])) == [3] and sorted(read) == [0, 1]
+    assert np.array_equal(boosting._scores(bins, np.zeros((1, 400)), [[tree]])[0], np.array(tree.value)[at])
